@@ -7,25 +7,30 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from visitrec.functions.text import whole_number
+
 # Fixed value: the run day is counted in UTC-5 all year, without daylight saving.
 RUN_ZONE = "-05:00"
 
 
 def date_from_parts(month: Column, day: Column, year: Column) -> Column:
-    """Date from three numbers; an impossible date or a missing part gives null.
+    """Date from three whole numbers; an impossible date or a missing part gives null.
 
-    ``concat`` and not ``concat_ws``: the latter skips a null part and ``1-2020`` would remain.
+    Years have four digits. The month's length is looked up, so that impossible days cost no
+    exception per row.
     """
-    dash = F.lit("-")
-    text = F.concat(
-        month.cast("string"), dash, day.cast("string"), dash, year.cast("string")
+    m, d, y = (whole_number(part) for part in (month, day, year))
+    first = F.when(
+        y.between(1000, 9999) & m.between(1, 12), F.make_date(y, m, F.lit(1))
     )
-    return F.try_to_date(text, "M-d-yyyy")
+    in_month = d.between(F.lit(1), F.dayofmonth(F.last_day(first)))
+    return F.when(in_month, F.date_add(first, d - F.lit(1)))
 
 
 def iso_date(col: Column | str) -> Column:
-    """Date from ``yyyy-MM-dd`` text. ``try_cast`` would also take ``2020`` as a date."""
-    return F.try_to_date(F.col(col) if isinstance(col, str) else col, "yyyy-MM-dd")
+    """Date from ``yyyy-MM-dd`` text. The cast alone would also take ``2020`` or ``2020-1-1 x``."""
+    text = F.col(col) if isinstance(col, str) else col
+    return F.when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text).try_cast("date")
 
 
 def date_in_zone(ts: Column | str, zone: str = RUN_ZONE) -> Column:

@@ -17,14 +17,15 @@ def clean_cell(col: Column | str) -> Column:
     return F.when(~trimmed.isin("", "NA"), trimmed)
 
 
-def to_integer(col: Column | str) -> Column:
-    """Text to integer by truncation: ``2.7`` gives 2, anything that is no number gives null.
+# A decimal number, as the cast understands it. Other text would cost an exception per row, and Java
+# would also take a type suffix (``2d``) as part of the number.
+_NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
 
-    Java reads a trailing ``d`` or ``f`` as a number suffix (``2d`` is 2.0); here it is bad text.
-    """
+def to_integer(col: Column | str) -> Column:
+    """Text to integer by truncation: ``2.7`` gives 2, anything that is no number gives null."""
     text = _col(col).cast("string")
-    number = F.when(~text.rlike(r"[dDfF]\s*$"), text)
-    return number.try_cast("double").try_cast("int")
+    return F.when(text.rlike(_NUMBER), text).try_cast("double").try_cast("int")
 
 
 def whole_number(col: Column | str) -> Column:

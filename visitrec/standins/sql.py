@@ -105,7 +105,7 @@ def _packet(name: str) -> tuple[str, list[str]]:
             *SIDES,
             PUSH_LIST,
             f"routed AS (\n  SELECT ptid, visitnum FROM push_list WHERE {_ROUTES[name]}\n)",
-            derived_sql("wide_raw", columns),
+            derived_sql("wide_raw", columns, "orders"),
             f"wide AS (\n  SELECT\n    {nulled}\n  FROM wide_raw\n)",
         ),
         list(columns),
@@ -196,7 +196,7 @@ FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderk
     ),
     **{f"ready_{name}": _ready(name) for name in _ROUTES},
     **{f"blocked_{name}": _blocked(name) for name in _ROUTES},
-    "form_projection": _with(derived_sql("wide_raw", WIDE["fvp"]))
+    "form_projection": _with(derived_sql("wide_raw", WIDE["fvp"], "orders"))
     + f"SELECT {', '.join(f'''nullif({c}, '') AS {c}''' for c in _PROJECTED)} FROM wide_raw",
     "requested_orders": """
 SELECT o_custkey AS custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
