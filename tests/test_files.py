@@ -24,6 +24,7 @@ from visitrec.plans import (
 from visitrec.plans.daily import stage
 from visitrec.plans.rules import IDENTIFIERS, VISIT_FIELDS
 from visitrec.sinks import push_folder, text_records, write_csv, write_csv_if_any, write_text_records
+from visitrec.sources.csv_files import breaks_in_quotes
 from visitrec.sources import (
     freshness,
     landing_files,
@@ -68,6 +69,32 @@ def test_csv_dialect(spark, tmp_path):
     ]
 
 
+def test_only_broken_cells_keep_a_file_whole(spark, tmp_path):
+    broken = put(tmp_path / "1.csv", 'a,b\n1,"x\ny"\n')
+    plain = put(tmp_path / "2.csv", 'a,b\n1,"say ""x"""\n2,"""\n')
+    quoted = put(tmp_path / "3.csv", 'a,b\n1,"say ""x"""\n')
+    assert breaks_in_quotes(spark, broken)
+    assert breaks_in_quotes(spark, plain)
+    assert not breaks_in_quotes(spark, quoted)
+    assert breaks_in_quotes(spark, [quoted, broken])
+    rows = [("1", 'say "x"')]
+    for multi_line in (None, True, False):
+        assert [tuple(r) for r in read_csv(spark, quoted, multi_line).collect()] == rows
+
+
+def test_large_plain_file_is_split(spark, tmp_path):
+    path = put(tmp_path / "big.csv", "a,b\n" + "".join(f'{i},"t ""{i}"""\n' for i in range(20000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "50KB")
+        df = read_csv(spark, path)
+        assert df.rdd.getNumPartitions() > 3
+        assert df.count() == 20000
+        assert df.filter("a = '19999'").first().b == 't "19999"'
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_csv_columns_go_by_name(spark, tmp_path):
     put(tmp_path / "r.csv", "FORMVER,VISITDAY,PTID,VISITYR,VISITNUM,VISITMO,EXTRA\n3.0,x,UM00000001,2019,001,3,e\n")
     df = read_registry(spark, str(tmp_path / "r.csv"))

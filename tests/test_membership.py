@@ -22,7 +22,6 @@ from visitrec.operators import (
     requested_only,
     status_counts,
 )
-from visitrec.operators import membership
 
 KEYS = ["a", "d", "v"]
 SCHEMA = "a string, d date, v string, n int"
@@ -91,16 +90,14 @@ def test_one_frame_on_both_sides(spark):
     assert join_listed(l, l, KEYS).count() == 2
 
 
-def test_many_copies_of_one_record(spark, monkeypatch):
-    monkeypatch.setattr(membership, "_COPIES_PER_STEP", 7)
+def test_listed_rows_multiply(spark):
     l, _ = frames(spark, [("p", None, "1"), ("q", None, "1"), ("r", None, "1")], [])
-    for copies in (1, 6, 7, 8, 14, 100):
-        listed = spark.range(copies).select(
-            F.lit("p").alias("a"), F.lit(None).cast("date").alias("d"), F.lit("1").alias("v")
-        )
-        listed = listed.union(l.filter("a = 'q'").select(*KEYS))
-        rows = Counter(row.a for row in join_listed(l, listed, KEYS).collect())
-        assert rows == {"p": copies, "q": 1}
+    listed = l.filter("a = 'p'").select(*KEYS)
+    for _ in range(3):
+        listed = listed.union(listed)
+    listed = listed.union(l.filter("a = 'q'").select(*KEYS))
+    rows = Counter(row.a for row in join_listed(l, listed, KEYS).collect())
+    assert rows == {"p": 8, "q": 1}
 
 
 def test_requested_only(spark):
@@ -154,7 +151,6 @@ def conf(spark):
 
 
 def final_plan(df):
-    df.write.format("noop").mode("overwrite").save()
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -164,6 +160,7 @@ OPERATIONS = {
     "in_both": lambda l, r: in_both(l, r, KEYS),
     "reconcile": lambda l, r: reconcile(l, r, KEYS)[0],
     "join_listed": lambda l, r: join_listed(l, r, KEYS),
+    "requested_only": lambda l, r: requested_only(l, r, "a"),
 }
 
 
@@ -206,6 +203,39 @@ def test_hot_key_is_split(spark, conf, name):
     assert result.count() == (10000 if name == "only_in" else 30000)
 
 
+def test_hot_listed_key_is_split(spark, conf):
+    """The inner join also splits when it is the list that is hot (by its bytes after compression)."""
+    conf(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="2KB",
+        adaptive__skewJoin__skewedPartitionFactor="1.5",
+        adaptive__advisoryPartitionSizeInBytes="2KB",
+        adaptive__coalescePartitions__enabled="false",
+        shuffle__partitions="16",
+    )
+    hot = F.when(F.col("id") < 200000, F.lit("hot")).otherwise(F.col("id").cast("string"))
+    listed = spark.range(0, 200320, 1, 32).select(
+        hot.alias("a"), F.lit(None).cast("date").alias("d"), F.lit("001").alias("v")
+    )
+    result = join_listed(listed.distinct(), listed, KEYS)
+    assert result.count() == 200320
+    assert "skew=true" in final_plan(result)
+
+
+def test_sorting_splits_equal_keys(spark, conf):
+    conf(shuffle__partitions="8", adaptive__enabled="false")
+    rows = spark.range(0, 30000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k")
+    )
+    ordered = in_order(rows, ["k"])
+    assert ordered.columns == ["k"]
+    sizes = ordered.groupBy(F.spark_partition_id()).count().collect()
+    assert max(row["count"] for row in sizes) < 8000
+    got = [row.k for row in ordered.collect()]
+    assert got == sorted(got) and len(got) == 30000
+
+
 def test_counts_need_one_shuffle_and_no_join(spark):
     l, r = frames(spark, [("p", None, "1")], [("p", None, "1")])
     plan = status_counts(l, r, KEYS)._jdf.queryExecution().executedPlan().toString()

@@ -3,12 +3,13 @@
 A missing key part equals a missing key part, as in the source system. ``eqNullSafe`` on every key
 keeps that an equi-join: Catalyst hashes ``coalesce(k, default), isnull(k)``.
 
-Size and skew. The side that is only looked up is reduced to its distinct keys first; the partial
-aggregate does that before the shuffle, so a key that fills a third of that side leaves each task as
-one row, and the join cannot multiply rows. The side that is kept is moved once, as a plain shuffle
-under the join, which is the shape adaptive execution splits when one key is hot. Nothing is
-broadcast by hint: Spark broadcasts the lookup side only when its measured size is under
-``spark.sql.autoBroadcastJoinThreshold``.
+Size and skew. For semi and anti joins the side that is only looked up is reduced to its distinct
+keys; the partial aggregate does that before the shuffle, so a key that fills a third of that side
+leaves each task as one row. The side that is kept is moved once, as a plain shuffle right under the
+join. That is the shape in which adaptive execution splits a hot key's partition, on either side of
+the inner join too (``spark.sql.adaptive.skewJoin``, on by default). It is kept on purpose: joining
+on the plain keys would reuse the shuffle of ``distinct`` and lose the split. Nothing is broadcast by
+hint: Spark does that only below ``spark.sql.autoBroadcastJoinThreshold``, by measured size.
 """
 
 from __future__ import annotations
@@ -25,9 +26,6 @@ LEFT_ONLY = "left_only"
 RIGHT_ONLY = "right_only"
 BOTH = "both"
 
-# Rows made at a time when a row has to be repeated; bounds the array behind one explode.
-_COPIES_PER_STEP = 4096
-
 
 def only_in(side: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``side`` whose key is absent from ``other``; duplicates and columns are kept."""
@@ -105,21 +103,13 @@ def discrepancy(registry: DataFrame, local: DataFrame, keys: Sequence[str]) -> D
 def join_listed(
     records: DataFrame, listed: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
-    """Inner join that keeps the columns of ``records``: a record comes once per listed row.
-
-    The listed rows are counted per key first. The join is then one-to-many at most, and the copies
-    are made last, so that filters on the result run on single records.
-    """
-    copies = listed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
-    return _repeat(
-        _lookup(records, copies, keys, "inner", extra=["_copies"]), "_copies"
-    )
+    """Inner join that keeps the columns of ``records``: a record comes once per listed row."""
+    return _lookup(records, listed.select(*keys), keys, "inner")
 
 
 def requested_only(records: DataFrame, listed: DataFrame, key: str) -> DataFrame:
     """Records of the listed ids. The id list stays a DataFrame; it never visits the driver."""
-    ids = listed.select(key).filter(F.col(key).isNotNull()).distinct()
-    return records.join(ids, key, "left_semi")
+    return in_both(records, listed.filter(F.col(key).isNotNull()), [key])
 
 
 def no_keys(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -166,16 +156,3 @@ def _count_side(
         F.lit(left).cast("long").alias("_l"),
         F.lit(right).cast("long").alias("_r"),
     )
-
-
-def _repeat(df: DataFrame, copies: str) -> DataFrame:
-    """Each row ``copies`` times, in steps, so that no array grows with the number of copies."""
-    wanted = [c for c in df.columns if c != copies]
-    zero, one, step = (F.lit(n).cast("long") for n in (0, 1, _COPIES_PER_STEP))
-    steps = F.sequence(zero, F.col(copies) - one, step)
-    within = F.sequence(one, F.least(F.col(copies) - F.col("_start"), step))
-    return (
-        df.withColumn("_start", F.explode(steps))
-        .withColumn("_copy", F.explode(within))
-        .select(*wanted)
-    )

@@ -66,7 +66,7 @@ def run_reconcile(
     local_visits: DataFrame,
     out_root: str,
     run_date: dt.date | str | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> ReconcileOutput:
     """Compare the newest registry file with the local visits; write what each side lacks."""
     day = run_date_text(run_date)
@@ -145,7 +145,9 @@ def run_day(
     day = run_date_text(run_date)
     folder = push_folder(out_root, day)
     reconciled = run_reconcile(spark, landing, local_visits, out_root, day)
-    push_list = read_push_list(spark, reconciled.push_list)
+    push_list = stage(
+        read_push_list(spark, reconciled.push_list), "push_list", f"{folder}/_stage"
+    )
     return reconciled, {
         rule.name: run_packet(records, push_list, rule, dictionary, folder, day)
         for rule in rules

@@ -65,7 +65,7 @@ def ready_records(
 ) -> DataFrame:
     """Routed records with every required form verified, shaped for submission.
 
-    The gate needs one record at a time, so it runs before the join and before copies are made.
+    The gate needs one record at a time, so it runs before the join: unready records do not move.
     """
     in_scope = records.filter(_event(rule) & matches(_EVENT, EVENT_PATTERN))
     passed = in_scope.filter(

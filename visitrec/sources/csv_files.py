@@ -15,16 +15,19 @@ REGISTRY_INTEGERS = ("VISITMO", "VISITDAY", "VISITYR")
 
 
 def read_csv(
-    spark: SparkSession, path: str | Sequence[str], multi_line: bool = True
+    spark: SparkSession, path: str | Sequence[str], multi_line: bool | None = None
 ) -> DataFrame:
     """All columns as text, under the names in the header.
 
     No schema is given, because Spark would apply it by position and not by name. With
     ``enforceSchema`` off, a file whose header differs from the first one's stops the job.
 
-    ``multi_line`` allows line breaks inside quotes, and then one file is one task. Turn it off for
-    large files known to have none: Spark then splits each file.
+    Line breaks inside quotes make a file one task; without them Spark splits it. Unless the caller
+    knows (``multi_line``), a first parallel pass over the lines finds out.
     """
+    paths = path if isinstance(path, str) else list(path)
+    if multi_line is None:
+        multi_line = breaks_in_quotes(spark, paths)
     raw = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
@@ -33,13 +36,19 @@ def read_csv(
         .option("multiLine", multi_line)
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
-        .csv(path if isinstance(path, str) else list(path))
+        .csv(paths)
     )
     return raw.select(*[clean_cell(c).alias(c) for c in raw.columns])
 
 
+def breaks_in_quotes(spark: SparkSession, path: str | Sequence[str]) -> bool:
+    """True if some line has an odd number of quotes, as the start of a broken cell must have."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
 def read_registry(
-    spark: SparkSession, path: str | Sequence[str], multi_line: bool = True
+    spark: SparkSession, path: str | Sequence[str], multi_line: bool | None = None
 ) -> DataFrame:
     """Registry visits: text by default, the three date parts as integers."""
     return declare_integers(read_csv(spark, path, multi_line))
@@ -56,7 +65,7 @@ def declare_integers(
 
 
 def read_push_list(
-    spark: SparkSession, path: str, multi_line: bool = True
+    spark: SparkSession, path: str, multi_line: bool | None = None
 ) -> DataFrame:
     """The push list of a run. ``visitnum`` keeps its leading zeros because nothing is guessed."""
     return read_csv(spark, path, multi_line)
