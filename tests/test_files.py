@@ -11,7 +11,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from visitrec.operators import blanks_to_null
+from visitrec.operators import blanks_to_null, integers_by_suffix, keys_first
 from visitrec.plans import (
     FVP,
     IVP,
@@ -103,6 +103,15 @@ def test_csv_columns_go_by_name(spark, tmp_path):
     assert (row.VISITNUM, row.FORMVER, row.EXTRA) == ("001", "3.0", "e")
 
 
+def test_odd_headers(spark, tmp_path):
+    text = "\ufeffa.b,c d,`e`,F_Complete\n 1,NA,,2.7\n"
+    for name, body in (("plain.csv", text), ("broken.csv", text + '2,"x\ny",,2\n')):
+        df = read_csv(spark, put(tmp_path / name, body))
+        assert df.columns == ["a.b", "c d", "`e`", "F_Complete"]
+        assert tuple(df.first()) == ("1", None, None, "2.7")
+        assert tuple(keys_first(integers_by_suffix(blanks_to_null(df)), ["c d"]).first()) == (None, "1", None, 2)
+
+
 def test_csv_with_another_header_stops_the_job(spark, tmp_path):
     put(tmp_path / "1.csv", "a,b\n1,2\n")
     put(tmp_path / "2.csv", "b,a\n1,2\n")

@@ -8,11 +8,13 @@ from visitrec.functions.dates import (
     iso_date,
     run_date_text,
 )
+from visitrec.functions.names import column
 from visitrec.functions.text import blank_to_null, clean_cell, to_integer, whole_number
 
 __all__ = [
     "blank_to_null",
     "clean_cell",
+    "column",
     "date_from_parts",
     "date_in_zone",
     "default_run_date",

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from visitrec.functions.names import column
+
 # The answer codes of a type checkbox group, in order of precedence.
 TYPE_CODES = (1, 2, 3, 9)
 
@@ -33,4 +35,4 @@ def first_ticked(prefix: str, codes: Sequence[int] = TYPE_CODES) -> Column:
 
 
 def _text(col: Column | str) -> Column:
-    return (F.col(col) if isinstance(col, str) else col).cast("string")
+    return column(col).cast("string")

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from visitrec.functions.names import column
 from visitrec.functions.text import whole_number
 
 # Fixed value: the run day is counted in UTC-5 all year, without daylight saving.
@@ -29,15 +30,14 @@ def date_from_parts(month: Column, day: Column, year: Column) -> Column:
 
 def iso_date(col: Column | str) -> Column:
     """Date from ``yyyy-MM-dd`` text. The cast alone would also take ``2020`` or ``2020-1-1 x``."""
-    text = F.col(col) if isinstance(col, str) else col
+    text = column(col)
     return F.when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text).try_cast("date")
 
 
 def date_in_zone(ts: Column | str, zone: str = RUN_ZONE) -> Column:
     """Calendar date of a point in time in ``zone``, whatever the session time zone is."""
-    point = F.col(ts) if isinstance(ts, str) else ts
     return F.convert_timezone(
-        F.current_timezone(), F.lit(zone), point.cast("timestamp_ntz")
+        F.current_timezone(), F.lit(zone), column(ts).cast("timestamp_ntz")
     ).cast("date")
 
 

@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from visitrec.functions.names import column
+
 
 def blank_to_null(col: Column | str) -> Column:
     """Empty string becomes null; blanks inside or around text are kept."""
-    return F.nullif(_col(col), F.lit(""))
+    return F.nullif(column(col), F.lit(""))
 
 
 def clean_cell(col: Column | str) -> Column:
     """One CSV cell: trim spaces and tabs, then read an empty cell and ``NA`` as null."""
-    trimmed = F.btrim(_col(col), F.lit(" \t"))
+    trimmed = F.btrim(column(col), F.lit(" \t"))
     return F.when(~trimmed.isin("", "NA"), trimmed)
 
 
@@ -24,14 +26,10 @@ _NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 def to_integer(col: Column | str) -> Column:
     """Text to integer by truncation: ``2.7`` gives 2, anything that is no number gives null."""
-    text = _col(col).cast("string")
+    text = column(col).cast("string")
     return F.when(text.rlike(_NUMBER), text).try_cast("double").try_cast("int")
 
 
 def whole_number(col: Column | str) -> Column:
     """Text to integer for a column declared integer: ``2.7`` is a bad cell and gives null."""
-    return _col(col).try_cast("int")
-
-
-def _col(col: Column | str) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+    return column(col).try_cast("int")

@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitrec.functions import blank_to_null, first_ticked, to_integer
+from visitrec.functions import blank_to_null, column, first_ticked, to_integer
 from visitrec.functions.codes import TYPE_CODES
 
 
@@ -24,7 +23,7 @@ def blanks_to_null(df: DataFrame) -> DataFrame:
         *[
             blank_to_null(f.name).alias(f.name)
             if isinstance(f.dataType, T.StringType)
-            else F.col(f.name)
+            else column(f.name)
             for f in df.schema.fields
         ]
     )
@@ -34,14 +33,17 @@ def integers_by_suffix(df: DataFrame, suffix: str = "_complete") -> DataFrame:
     """Columns whose name ends with ``suffix``, in any letter case, become integers."""
     return df.select(
         *[
-            to_integer(c).alias(c) if c.lower().endswith(suffix.lower()) else F.col(c)
+            to_integer(c).alias(c) if c.lower().endswith(suffix.lower()) else column(c)
             for c in df.columns
         ]
     )
 
 
 def keys_first(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.select(*keys, *[c for c in df.columns if c not in keys])
+    return df.select(
+        *[column(key) for key in keys],
+        *[column(c) for c in df.columns if c not in keys],
+    )
 
 
 def drop_required(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -62,7 +64,7 @@ def collapse_checkboxes(
     require_columns(df, boxes)
     gone = {*boxes, *prefixes}
     return df.select(
-        *[c for c in df.columns if c not in gone],
+        *[column(c) for c in df.columns if c not in gone],
         *[first_ticked(prefix, codes).alias(prefix) for prefix in prefixes],
     )
 
@@ -78,17 +80,21 @@ def form_columns(
     ``dictionary`` lists the fields of each form. A checkbox field stands for its ``<field>___<code>``
     columns.
     """
+    boxes: dict[str, list[str]] = {}
+    for name in df.columns:
+        field, mark, _ = name.partition("___")
+        if mark:
+            boxes.setdefault(field, []).append(name)
     wanted = list(always)
     for form in forms:
         if form not in dictionary:
             raise ValueError(f"form not in the dictionary: {form}")
         for field in dictionary[form]:
-            boxes = [c for c in df.columns if c.startswith(f"{field}___")]
-            wanted.extend(boxes or [field])
+            wanted.extend(boxes.get(field, [field]))
         wanted.append(f"{form}_complete")
     unique = list(dict.fromkeys(wanted))
     require_columns(df, unique)
-    return df.select(*unique)
+    return df.select(*[column(name) for name in unique])
 
 
 def rename_headers(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:

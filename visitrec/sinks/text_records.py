@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitrec.functions import column
 from visitrec.operators.columns import require_columns
 
 
@@ -27,7 +28,7 @@ def write_text_records(
 
 
 def _cell(name: str, width: int, pad: str) -> Column:
-    text = F.coalesce(F.col(name).cast("string"), F.lit(""))
+    text = F.coalesce(column(name).cast("string"), F.lit(""))
     return F.when(
         F.length(text) > F.lit(width),
         F.raise_error(F.lit(f"value wider than {width} in column {name}")),

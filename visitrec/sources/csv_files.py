@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitrec.functions import clean_cell, whole_number
+from visitrec.functions import clean_cell, column, whole_number
 from visitrec.operators.columns import require_columns
 
 # Registry columns declared integer; all others stay text.
@@ -60,7 +60,7 @@ def declare_integers(
     """Named columns as integers; a bad cell becomes null."""
     require_columns(df, columns)
     return df.select(
-        *[whole_number(c).alias(c) if c in columns else F.col(c) for c in df.columns]
+        *[whole_number(c).alias(c) if c in columns else column(c) for c in df.columns]
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from visitrec.functions import column as named
 from visitrec.operators.columns import blanks_to_null
 
 
@@ -39,6 +40,5 @@ def records_from_text(
     df: DataFrame, column: Column | str, fields: Sequence[str]
 ) -> DataFrame:
     """One row per object of the JSON arrays held in a text column."""
-    text = F.col(column) if isinstance(column, str) else column
-    parsed = F.from_json(text, T.ArrayType(text_schema(fields)), {"mode": "FAILFAST"})
+    parsed = F.from_json(named(column), T.ArrayType(text_schema(fields)), {"mode": "FAILFAST"})
     return blanks_to_null(df.select(F.inline(parsed)))

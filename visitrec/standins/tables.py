@@ -64,7 +64,6 @@ LOCAL = {
     "m1_complete": "case when l_quantity > 45 then '2' else '0' end",
 }
 
-
 _PACKET_FORMS = {
     "ivp": "a1 a2 a3 a4 a5 b1 b4 b5 b6 b7 b8 b9 c2 d1 d2",
     "fvp": "a1 a2 a3 a4 a5 b1 b4 b5 b6 b7 b8 b9 c1 c2 d1 d2",
@@ -156,7 +155,8 @@ def _form_dictionary(columns: dict[str, str], packet: str) -> dict[str, list[str
     }
     forms["header"] = [*_IDENTIFIERS, "sample_code"]
     for field in dict.fromkeys(c.split("___")[0] for c in columns if "___" in c):
-        forms[f"{packet}_d2" if field.endswith("_artype") or field == "artype" else f"{packet}_a5"].append(field)
+        form = "a5" if field.endswith("arthtype") else "d2"
+        forms[f"{packet}_{form}"].append(field)
     return forms
 
 
