@@ -14,9 +14,21 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from visitrec.functions import run_date_text
-from visitrec.operators import form_columns, keys_first, only_in, rename_headers
+from visitrec.operators import (
+    form_columns,
+    keys_first,
+    only_in,
+    rename_headers,
+    requested_only,
+)
 from visitrec.plans.clean import clean_local, clean_registry
-from visitrec.plans.packets import blocked_records, pull_records, ready_records, route
+from visitrec.plans.packets import (
+    blocked_records,
+    pull_records,
+    ready_records,
+    route,
+    route_all,
+)
 from visitrec.plans.rules import (
     PACKETS,
     PUSH_LIST_STEM,
@@ -141,15 +153,26 @@ def run_day(
     run_date: dt.date | str | None = None,
     rules: Sequence[PacketRule] = PACKETS,
 ) -> tuple[ReconcileOutput, dict[str, PacketOutput]]:
-    """Reconcile, then all packets from the push list that was written."""
+    """Reconcile, then all packets from the push list that was written.
+
+    The wide records are read once: what any packet can need, of participants routed anywhere, is
+    stored in columns, and the ready and blocked steps of every packet scan that.
+    """
     day = run_date_text(run_date)
     folder = push_folder(out_root, day)
     reconciled = run_reconcile(spark, landing, local_visits, out_root, day)
     push_list = stage(
         read_push_list(spark, reconciled.push_list), "push_list", f"{folder}/_stage"
     )
+    forms = list(dict.fromkeys(form for rule in rules for form in rule.pulled))
+    needed = form_columns(records, forms, dictionary, RECORD_COLUMNS)
+    pulled = stage(
+        requested_only(needed, route_all(push_list, rules), "ptid"),
+        "records",
+        f"{folder}/_stage",
+    )
     return reconciled, {
-        rule.name: run_packet(records, push_list, rule, dictionary, folder, day)
+        rule.name: run_packet(pulled, push_list, rule, dictionary, folder, day)
         for rule in rules
     }
 

@@ -68,6 +68,7 @@ _FVP_FORMS = ("header", *_forms("fvp", "a1 a2 a3 a4 a5 b1 b4 b5 b6 b7 b8 b9 c1 c
 _TVP_TESTED = ("header", *_forms("tvp", "t1 a1 a2 a3 a4 b4 b5 b7 b9 d1 d2"))
 _TVP_FORMS = ("header", *_forms("tvp", "t1 a1 a2 a3 a4 b4 b5 b7 b9 c2t d1 d2"))
 
+# The forms, checkbox groups and file names of each packet.
 # Follow-up pulls also take the first visit's A1 form, which the export step needs.
 _TVP_PULLED = ("header", "ivp_a1", *_TVP_FORMS[1:], "tvp_z1")
 

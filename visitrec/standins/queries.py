@@ -223,7 +223,9 @@ def _newest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _freshness(spark: SparkSession, sf: str) -> DataFrame:
-    latest = newest(t.load(spark, sf, "events"), by="ts", tie="event_id")
+    at_utc = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
+    events = t.load(spark, sf, "events").withColumn("ts", at_utc)
+    latest = newest(events, by="ts", tie="event_id")
     return freshness(latest, "2024-01-31", path="props", modified="ts")
 
 
