@@ -55,6 +55,27 @@ def test_query(spark, duck, name):
     assert actual == expected
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["newest_row", "freshness"])
+def test_newest_is_a_top_one(spark, name):
+    plan = plan_of(queries()[name](spark, SF_DIR))
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("name", sorted(set(queries()) - {"matched_local", "matched_registry"}))
+def test_no_sort_of_all_rows_and_no_python(spark, name):
+    if name.endswith("_csv") or name == "visit_json":
+        pytest.skip("writes files first")
+    plan = plan_of(queries()[name](spark, SF_DIR))
+    for banned in ("rangepartitioning", "SinglePartition", "Cartesian", "NestedLoop", "EvalPython", "Window"):
+        if banned == "SinglePartition" and name in ("reconcile_status_counts", "registry_discrepancy"):
+            continue  # the last step of a global count: one row per task
+        assert banned not in plan
+
+
 def test_entry(spark):
     rows = entry(spark).collect()
     assert len(rows) == 4 and all(row.n_rows > 0 for row in rows)
