@@ -6,7 +6,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from visitrec.standins.queries import QUERIES
+from visitrec.standins.sql import ORACLE_SQL
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -39,13 +41,13 @@ def _rows(names, rows):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    result = queries()[name](spark, SF_DIR)
-    cursor = duck.execute(oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    cursor = duck.execute(ORACLE_SQL[name])
     names = [d[0] for d in cursor.description]
     assert sorted(result.columns) == sorted(names)
     expected = _rows(names, cursor.fetchall())
@@ -61,15 +63,15 @@ def plan_of(df):
 
 @pytest.mark.parametrize("name", ["newest_row", "freshness"])
 def test_newest_is_a_top_one(spark, name):
-    plan = plan_of(queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - {"matched_local", "matched_registry"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"matched_local", "matched_registry"}))
 def test_no_sort_of_all_rows_and_no_python(spark, name):
     if name.endswith("_csv") or name == "visit_json":
         pytest.skip("writes files first")
-    plan = plan_of(queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     for banned in ("rangepartitioning", "SinglePartition", "Cartesian", "NestedLoop", "EvalPython", "Window"):
         if banned == "SinglePartition" and name in ("reconcile_status_counts", "registry_discrepancy"):
             continue  # the last step of a global count: one row per task
