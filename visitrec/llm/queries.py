@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitrec.llm.ngram_join import near_duplicates
+from visitrec.llm.outliers import quality_rules
 from visitrec.llm.winnow import benchmark_hits
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +18,14 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf, "documents"), ngram=4, threshold=(85, 100))
+
+
+def op9_robust_outliers(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules(_table(spark, sf, "documents"))
+
+
 def op10_winnowing(spark: SparkSession, sf: str) -> DataFrame:
     hits = benchmark_hits(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
     listed = F.sha2(F.array_join("items", ","), 256)
@@ -23,6 +33,8 @@ def op10_winnowing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op9_robust_outliers": op9_robust_outliers,
     "op10_winnowing": op10_winnowing,
 }
 
