@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitrec.llm.chat import preference_pairs
+from visitrec.llm.kd_shards import shard_documents
 from visitrec.llm.ngram_join import near_duplicates
 from visitrec.llm.outliers import quality_rules
 from visitrec.llm.winnow import benchmark_hits
@@ -18,10 +20,36 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_preference_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    """Each conversation against itself with the last assistant turn of its neighbour in place of its own."""
+    turns = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    last = (
+        turns.filter("role = 'assistant'")
+        .groupBy("conv_id")
+        .agg(F.max("turn").alias("last"), F.max_by("text", F.struct("turn", "text")).alias("reply"))
+    )
+    other = last.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("reply").alias("other"))
+    changed = F.when(F.col("turn") == F.col("last"), F.coalesce("other", F.lit(""))).otherwise(F.col("text"))
+    rejected = (
+        turns.join(last, "conv_id", "left")
+        .join(other, "conv_id", "left")
+        .select(F.col("conv_id").alias("pair_id"), "turn", "role", changed.alias("text"))
+    )
+    pairs = preference_pairs(turns.withColumnRenamed("conv_id", "pair_id"), rejected)
+    for side in ("chosen", "rejected"):
+        spans = F.transform(f"{side}_spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
+        pairs = pairs.withColumn(f"{side}_spans", F.array_join(spans, ","))
+    return pairs.withColumnRenamed("pair_id", "conv_id")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents"), ngram=4, threshold=(85, 100))
 
 
+def op7_kd_tree(spark: SparkSession, sf: str) -> DataFrame:
+    return shard_documents(_table(spark, sf, "documents"))
+
+
 def op9_robust_outliers(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules(_table(spark, sf, "documents"))
 
@@ -33,9 +61,45 @@ def op10_winnowing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_preference_formatting": op1_preference_formatting,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op7_kd_tree": op7_kd_tree,
     "op9_robust_outliers": op9_robust_outliers,
     "op10_winnowing": op10_winnowing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_preference_formatting": """
+WITH replies AS (
+    SELECT conv_id, max(turn) AS last_turn, arg_max(text, turn) AS reply
+    FROM conversations WHERE role = 'assistant' GROUP BY conv_id
+), sides AS (
+    SELECT c.conv_id, c.turn, c.role, c.text AS chosen,
+        CASE WHEN c.turn = r.last_turn THEN coalesce(o.reply, '') ELSE c.text END AS rejected
+    FROM conversations c
+    LEFT JOIN replies r ON r.conv_id = c.conv_id
+    LEFT JOIN replies o ON o.conv_id = xor(c.conv_id, 1)
+), cuts AS (
+    SELECT conv_id, min(CASE WHEN chosen <> rejected THEN turn END) AS cut FROM sides GROUP BY conv_id
+), turns AS (
+    SELECT s.*, c.cut IS NULL OR s.turn < c.cut AS shared,
+        '<|' || replace(role, '<|', '< |') || '|>' || chr(10) AS head,
+        replace(chosen, '<|', '< |') || '<|end|>' AS a, replace(rejected, '<|', '< |') || '<|end|>' AS b
+    FROM sides s JOIN cuts c ON c.conv_id = s.conv_id
+), placed AS (
+    SELECT *,
+        sum(CASE WHEN shared THEN 0 ELSE length(head || a) + 1 END) OVER w AS a_end,
+        sum(CASE WHEN shared THEN 0 ELSE length(head || b) + 1 END) OVER w AS b_end
+    FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+)
+SELECT conv_id, CAST(count(*) FILTER (WHERE shared) AS INTEGER) AS n_prompt_turns,
+    coalesce(string_agg(head || a || chr(10), '' ORDER BY turn) FILTER (WHERE shared), '') AS prompt,
+    coalesce(string_agg(head || a || chr(10), '' ORDER BY turn) FILTER (WHERE NOT shared), '') AS chosen,
+    coalesce(string_agg(head || b || chr(10), '' ORDER BY turn) FILTER (WHERE NOT shared), '') AS rejected,
+    coalesce(string_agg((a_end - 1 - length(a)) || ':' || (a_end - 1), ',' ORDER BY turn)
+        FILTER (WHERE NOT shared AND role = 'assistant'), '') AS chosen_spans,
+    coalesce(string_agg((b_end - 1 - length(b)) || ':' || (b_end - 1), ',' ORDER BY turn)
+        FILTER (WHERE NOT shared AND role = 'assistant'), '') AS rejected_spans
+FROM placed GROUP BY conv_id
+""",
+}
