@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitrec.llm.chat import preference_pairs
 from visitrec.llm.kd_shards import shard_documents
 from visitrec.llm.ngram_join import near_duplicates
 from visitrec.llm.outliers import quality_rules
+from visitrec.llm.pii import KINDS, find_pii, fit_crf
+from visitrec.llm.toxicity import fit_severity, severity
 from visitrec.llm.winnow import benchmark_hits
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,10 +44,34 @@ def op1_preference_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.withColumnRenamed("pair_id", "conv_id")
 
 
+def op2_ordinal_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents")
+    return severity(documents, fit_severity(documents, _table(spark, sf, "labels")))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents"), ngram=4, threshold=(85, 100))
 
 
+def op6_crf_pii(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents")
+    found = find_pii(documents, fit_crf(documents))
+
+    def listed(spans: str) -> Column:
+        each = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(each, ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in KINDS),
+        F.sha2(listed("base"), 256).alias("base_sha256"),
+        listed("spans").alias("spans"),
+    )
+
+
 def op7_kd_tree(spark: SparkSession, sf: str) -> DataFrame:
     return shard_documents(_table(spark, sf, "documents"))
 
@@ -62,7 +88,9 @@ def op10_winnowing(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_preference_formatting": op1_preference_formatting,
+    "op2_ordinal_toxicity": op2_ordinal_toxicity,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op6_crf_pii": op6_crf_pii,
     "op7_kd_tree": op7_kd_tree,
     "op9_robust_outliers": op9_robust_outliers,
     "op10_winnowing": op10_winnowing,
