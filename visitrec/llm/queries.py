@@ -12,9 +12,17 @@ from visitrec.llm.kd_shards import shard_documents
 from visitrec.llm.ngram_join import near_duplicates
 from visitrec.llm.outliers import quality_rules
 from visitrec.llm.pii import KINDS, find_pii, fit_crf
+from visitrec.llm.suffix_dedup import remove_repeats
 from visitrec.llm.toxicity import fit_severity, severity
+from visitrec.llm.unigram import encode
+from visitrec.llm.warc import read_archives, write_archives
 from visitrec.llm.winnow import benchmark_hits
 
+from visitrec.storage import Scratch
+
+#: The vocabulary file that the query uses; operators take the path as an argument.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -53,6 +61,16 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents"), ngram=4, threshold=(85, 100))
 
 
+def op4_warc_dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    folder = Scratch(spark, "archives").path("warc")
+    archives = write_archives(_table(spark, sf, "pages"), folder)
+    return read_archives(archives, folder).drop("payload")
+
+
+def op5_suffix_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf, "documents")).drop("kept")
+
+
 def op6_crf_pii(spark: SparkSession, sf: str) -> DataFrame:
     documents = _table(spark, sf, "documents")
     found = find_pii(documents, fit_crf(documents))
@@ -76,6 +94,11 @@ def op7_kd_tree(spark: SparkSession, sf: str) -> DataFrame:
     return shard_documents(_table(spark, sf, "documents"))
 
 
+def op8_unigram_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    encoded = encode(_table(spark, sf, "documents"), PIECES)
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
+
+
 def op9_robust_outliers(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules(_table(spark, sf, "documents"))
 
@@ -90,8 +113,11 @@ QUERIES: dict[str, Query] = {
     "op1_preference_formatting": op1_preference_formatting,
     "op2_ordinal_toxicity": op2_ordinal_toxicity,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_warc_dictionary": op4_warc_dictionary,
+    "op5_suffix_arrays": op5_suffix_arrays,
     "op6_crf_pii": op6_crf_pii,
     "op7_kd_tree": op7_kd_tree,
+    "op8_unigram_pieces": op8_unigram_pieces,
     "op9_robust_outliers": op9_robust_outliers,
     "op10_winnowing": op10_winnowing,
 }
