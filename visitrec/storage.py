@@ -41,6 +41,11 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(self.path(label))
 
     def drop(self, label: str = "") -> None:
-        """Remove a table that no later step reads, or the whole folder."""
+        """Remove a table that no later step reads, or the whole folder.
+
+        Spark keeps the shuffle files of finished steps until its driver collects their owners, so it is asked
+        to do that now.
+        """
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(label) if label else self.root)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.spark._jvm.System.gc()
