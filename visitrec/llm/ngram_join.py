@@ -226,32 +226,32 @@ class _Join:
             ),
             "prefixes",
         )
-        buckets = self.scratch.keep(
-            dealt.groupBy("gram")
-            .agg(
-                F.count(F.lit(1)).alias("members"),
+        shared = self.scratch.keep(
+            dealt.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "shared"
+        )
+        met = self.scratch.keep(dealt.join(shared, "gram"), "met")
+        self.scratch.drop("prefixes")
+        firsts = self.scratch.keep(
+            met.groupBy("gram").agg(
                 F.min("at").alias("first_at"),
                 F.min_by("doc_id", _order()).alias("first"),
                 F.min_by("n", _order()).alias("first_n"),
-            )
-            .filter("members > 1"),
-            "buckets",
+            ),
+            "firsts",
         )
-        met = self.scratch.keep(dealt.join(buckets, "gram"), "met")
-        self.scratch.drop("prefixes")
         class_of = classed.filter("class IS NOT NULL").select("doc_id", "class").distinct()
-        stars = met.filter(F.col("doc_id") != F.col("first")).filter(
+        stars = met.join(firsts, "gram").filter(F.col("doc_id") != F.col("first")).filter(
             self.similar.possible(F.col("n"), F.col("at"), F.col("first_n"), F.col("first_at"))
         )
         tried = self.scratch.keep(
             self._by_class(stars.select(F.col("first").alias("a"), F.col("doc_id").alias("b")), class_of),
             "tried",
         )
-        links = self.scratch.keep(self._links(tried, classed, "links"), "links")
+        links = self._links(tried, classed, "links")
         labels = components(links, self.scratch)
         rest = self.scratch.keep(self._between(met, class_of, labels, tried), "rest")
         if not rest.isEmpty():
-            more = self.scratch.keep(self._links(rest, classed, "more-links"), "more-links")
+            more = self._links(rest, classed, "more-links")
             if not more.isEmpty():
                 labels = components(links.union(more), self.scratch, "all")
         self.scratch.drop("met")
@@ -292,9 +292,10 @@ class _Join:
         )
         for side in ("a", "b"):
             sums = sums.join(sizes.select(F.col("doc_id").alias(side), F.col("n").alias(f"{side}_n")), side)
-        return sums.filter(
-            self.similar.reached(F.col("overlap"), F.col("a_n") + F.col("b_n"))
-        ).select("a", "b")
+        links = sums.filter(self.similar.reached(F.col("overlap"), F.col("a_n") + F.col("b_n")))
+        links = self.scratch.keep(links.select("a", "b"), label)
+        self.scratch.drop(f"{label}-fragments")
+        return links
 
     def _between(
         self, met: DataFrame, class_of: DataFrame, labels: DataFrame, tried: DataFrame
