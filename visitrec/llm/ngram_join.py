@@ -31,6 +31,8 @@ from visitrec.storage import Scratch
 
 NGRAM, THRESHOLD, FRAGMENTS = 5, (80, 100), 4
 SLOT_BITS = 18
+#: Bits of a set's parity map: bit i tells whether an odd number of its n-grams fall on i.
+PARITY_BITS = 1024
 #: A slot's count is reported by a task if it is so many times the task's mean.
 NOTABLE = 4
 
@@ -76,6 +78,12 @@ def _signature(grams: np.ndarray) -> tuple[int, int]:
     return one, two
 
 
+def _parity(grams: np.ndarray) -> np.ndarray:
+    """Two maps differ in no more bits than the sets in n-grams."""
+    odd = np.bincount((grams & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _slot(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
@@ -83,11 +91,12 @@ def _slot(grams: np.ndarray) -> np.ndarray:
 def _summaries(n: int):
     """A row for each text (slot is -1), then one for each notable slot of the task."""
 
-    def rows(ids, sizes, one, two, slots, weights) -> pa.RecordBatch:
+    def rows(ids, sizes, one, two, parity, slots, weights) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [ids, pa.array(sizes, pa.int64()), A.signed(one), A.signed(two)]
+            + [pa.array(parity, pa.list_(pa.int64()))]
             + [pa.array(slots, pa.int32()), pa.array(weights, pa.int64())],
-            names=["doc_id", "n", "one", "two", "slot", "weight"],
+            names=["doc_id", "n", "one", "two", "parity", "slot", "weight"],
         )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,13 +112,16 @@ def _summaries(n: int):
                     [len(s) for s in sets],
                     np.ascontiguousarray(pairs[:, 0]),
                     np.ascontiguousarray(pairs[:, 1]),
+                    [_parity(s) for s in sets],
                     np.full(len(sets), -1),
                     np.zeros(len(sets), dtype=np.int64),
                 )
         if kind is not None:
             slots = np.flatnonzero(counts > max(8, NOTABLE * counts.mean()))
             zeros = np.zeros(len(slots), dtype=np.uint64)
-            yield rows(pa.nulls(len(slots), kind), zeros, zeros, zeros, slots, counts[slots])
+            yield rows(
+                pa.nulls(len(slots), kind), zeros, zeros, zeros, [None] * len(slots), slots, counts[slots]
+            )
 
     return scan
 
@@ -193,17 +205,20 @@ class _Join:
         scanned = self.scratch.keep(
             self.rows.mapInArrow(
                 _summaries(self.ngram),
-                self._schema("n long, one long, two long, slot int, weight long"),
+                self._schema("n long, one long, two long, parity array<long>, slot int, weight long"),
             ),
             "summaries",
         )
-        texts = scanned.filter("slot < 0").select("doc_id", "n", "one", "two")
+        texts = scanned.filter("slot < 0").select("doc_id", "n", "one", "two", "parity")
         classes = self.scratch.keep(
-            texts.filter("n > 0").groupBy("one", "two").agg(F.min("doc_id").alias("class")), "classes"
+            texts.filter("n > 0 AND doc_id IS NOT NULL").groupBy("one", "two").agg(F.min("doc_id").alias("class")), "classes"
         )
         classed = self.scratch.keep(
             texts.join(classes, ["one", "two"], "left").select(
-                "doc_id", "n", F.when(F.col("n") > 0, F.col("class")).alias("class")
+                "doc_id",
+                "n",
+                F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("class")).alias("class"),
+                "parity",
             ),
             "classed",
         )
@@ -211,7 +226,9 @@ class _Join:
         return classed.join(labels.withColumnRenamed("node", "class"), "class", "left").select(
             "doc_id",
             F.col("n").alias("n_shingles"),
-            F.coalesce("component", "class", "doc_id").alias("component_id"),
+            F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class", "doc_id")).alias(
+                "component_id"
+            ),
         )
 
     def _labels(self, scanned: DataFrame, classed: DataFrame) -> DataFrame:
@@ -247,9 +264,10 @@ class _Join:
             self._by_class(stars.select(F.col("first").alias("a"), F.col("doc_id").alias("b")), class_of),
             "tried",
         )
-        links = self._links(tried, classed, "links")
+        links = self._links(self._plausible(tried, classed), classed, "links")
         labels = components(links, self.scratch)
-        rest = self.scratch.keep(self._between(met, class_of, labels, tried), "rest")
+        rest = self._plausible(self._between(met, class_of, labels, tried), classed)
+        rest = self.scratch.keep(rest, "rest")
         if not rest.isEmpty():
             more = self._links(rest, classed, "more-links")
             if not more.isEmpty():
@@ -266,6 +284,22 @@ class _Join:
         pairs = pairs.select(F.col("a_class").alias("a"), F.col("b_class").alias("b")).filter("a <> b")
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
+    def _plausible(self, pairs: DataFrame, classed: DataFrame) -> DataFrame:
+        """Pairs whose parity maps allow the overlap."""
+        nodes = classed.filter("doc_id = class")
+        for side in ("a", "b"):
+            own = nodes.select(
+                F.col("doc_id").alias(side), F.col("n").alias(f"{side}_n"), F.col("parity").alias(f"{side}_map")
+            )
+            pairs = pairs.join(own, side)
+        differ = F.aggregate(
+            F.zip_with("a_map", "b_map", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+            F.lit(0),
+            lambda total, bits: total + bits,
+        )
+        total = F.col("a_n") + F.col("b_n")
+        return pairs.filter(self.similar.reached((total - differ) / 2, total)).select("a", "b")
+
     def _links(self, pairs: DataFrame, classed: DataFrame, label: str) -> DataFrame:
         """Which pairs reach the threshold: overlaps by fragment, summed for each pair."""
         nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
@@ -350,9 +384,23 @@ def near_duplicates(
 
     Returns a row for each row of ``documents``: doc_id, n_shingles, component_id (the smallest doc_id that
     links reach, its own included). Rows that share a doc_id share the smallest component of any of them.
-    A row without an id has its own n_shingles, and the component of the rows with the same set, or null.
+    A row without an id is linked with nothing and has no component.
     """
-    return _Join(documents, ngram, Similarity(*threshold), fragments).run()
+    similar = Similarity(*threshold)
+    ids = documents.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    if ids.filter("rows > 1").isEmpty():
+        return _Join(documents, ngram, similar, fragments).run()
+    # rows that share an id: number the different rows, join those, and go back to ids
+    numbered = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("number"))
+    once = numbered.dropDuplicates(["number"]).select(F.col("number").alias("doc_id"), "text")
+    groups = _Join(once, ngram, similar, fragments).run().withColumnRenamed("doc_id", "number")
+    groups = Scratch(documents.sparkSession, "ngrams").keep(
+        numbered.select("doc_id", "number").join(groups, "number"), "numbered"
+    )
+    lowest = groups.groupBy("component_id").agg(F.min("doc_id").alias("lowest"))
+    named = groups.join(lowest, "component_id")
+    own = named.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("lowest").alias("own"))
+    return named.join(own, "doc_id", "left").select("doc_id", "n_shingles", F.col("own").alias("component_id"))
 
 
 def deduplicated(documents: DataFrame, **options) -> DataFrame:
