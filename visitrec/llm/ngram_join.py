@@ -31,8 +31,8 @@ from visitrec.storage import Scratch
 
 NGRAM, THRESHOLD, FRAGMENTS = 5, (80, 100), 4
 SLOT_BITS = 18
-#: Bits of a set's parity map: bit i tells whether an odd number of its n-grams fall on i.
-PARITY_BITS = 1024
+#: Least bits of a set's parity map: bit i tells whether an odd number of its n-grams fall on i.
+PARITY_BITS = 256
 #: A slot's count is reported by a task if it is so many times the task's mean.
 NOTABLE = 4
 
@@ -79,8 +79,14 @@ def _signature(grams: np.ndarray) -> tuple[int, int]:
 
 
 def _parity(grams: np.ndarray) -> np.ndarray:
-    """Two maps differ in no more bits than the sets in n-grams."""
-    odd = np.bincount((grams & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    """A map of 2 to 4 bits for each n-gram. Two maps differ in no more bits than the sets in n-grams.
+
+    The two halves of a map combined are the map of half as many bits.
+    """
+    bits = PARITY_BITS
+    while bits < 2 * len(grams):
+        bits *= 2
+    odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -209,7 +215,7 @@ class _Join:
             ),
             "summaries",
         )
-        texts = scanned.filter("slot < 0").select("doc_id", "n", "one", "two", "parity")
+        texts = scanned.filter("slot < 0").select("doc_id", "n", "one", "two")
         classes = self.scratch.keep(
             texts.filter("n > 0 AND doc_id IS NOT NULL").groupBy("one", "two").agg(F.min("doc_id").alias("class")), "classes"
         )
@@ -218,7 +224,6 @@ class _Join:
                 "doc_id",
                 "n",
                 F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("class")).alias("class"),
-                "parity",
             ),
             "classed",
         )
@@ -264,9 +269,9 @@ class _Join:
             self._by_class(stars.select(F.col("first").alias("a"), F.col("doc_id").alias("b")), class_of),
             "tried",
         )
-        links = self._links(self._plausible(tried, classed), classed, "links")
+        links = self._links(self._plausible(tried, scanned), classed, "links")
         labels = components(links, self.scratch)
-        rest = self._plausible(self._between(met, class_of, labels, tried), classed)
+        rest = self._plausible(self._between(met, class_of, labels, tried), scanned)
         rest = self.scratch.keep(rest, "rest")
         if not rest.isEmpty():
             more = self._links(rest, classed, "more-links")
@@ -284,21 +289,29 @@ class _Join:
         pairs = pairs.select(F.col("a_class").alias("a"), F.col("b_class").alias("b")).filter("a <> b")
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def _plausible(self, pairs: DataFrame, classed: DataFrame) -> DataFrame:
+    def _plausible(self, pairs: DataFrame, scanned: DataFrame) -> DataFrame:
         """Pairs whose parity maps allow the overlap."""
-        nodes = classed.filter("doc_id = class")
         for side in ("a", "b"):
-            own = nodes.select(
+            own = scanned.filter("n > 0 AND doc_id IS NOT NULL").select(
                 F.col("doc_id").alias(side), F.col("n").alias(f"{side}_n"), F.col("parity").alias(f"{side}_map")
             )
             pairs = pairs.join(own, side)
+        size = F.least(F.size("a_map"), F.size("b_map"))
+
+        def folded(side: str) -> Column:
+            halves = F.slice(side, F.lit(1), size), F.slice(side, size + 1, size)
+            both = F.zip_with(*halves, lambda x, y: x.bitwiseXOR(y))
+            return F.when(F.size(side) == 2 * size, both).otherwise(F.col(side))
+
         differ = F.aggregate(
-            F.zip_with("a_map", "b_map", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+            F.zip_with(folded("a_map"), folded("b_map"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
             F.lit(0),
             lambda total, bits: total + bits,
         )
         total = F.col("a_n") + F.col("b_n")
-        return pairs.filter(self.similar.reached((total - differ) / 2, total)).select("a", "b")
+        close = F.greatest(F.size("a_map"), F.size("b_map")) <= 2 * size  # else sizes differ too much to tell
+        reached = self.similar.reached((total - differ) / 2, total)
+        return pairs.filter(~close | reached).select("a", "b")
 
     def _links(self, pairs: DataFrame, classed: DataFrame, label: str) -> DataFrame:
         """Which pairs reach the threshold: overlaps by fragment, summed for each pair."""
