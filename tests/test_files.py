@@ -21,7 +21,7 @@ from visitrec.plans import (
     run_packet,
     run_reconcile,
 )
-from visitrec.plans.daily import stage
+from visitrec.storage import Scratch
 from visitrec.plans.rules import IDENTIFIERS, VISIT_FIELDS
 from visitrec.sinks import push_folder, text_records, write_csv, write_csv_if_any, write_text_records
 from visitrec.sources.csv_files import breaks_in_quotes
@@ -206,12 +206,20 @@ def test_push_folder():
         push_folder("/x", "../..")
 
 
-def test_stage_uses_the_shared_folder(spark, tmp_path):
+def test_scratch_uses_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
-    staged = stage(spark.range(3), "numbers", str(tmp_path))
-    assert staged.count() == 3
-    assert staged.inputFiles()[0].removeprefix("file://").startswith(shared)
-    assert not any(tmp_path.iterdir())
+    scratch = Scratch(spark, "test")
+    kept = scratch.keep(spark.range(3), "numbers")
+    assert kept.count() == 3
+    assert kept.inputFiles()[0].removeprefix("file://").startswith(shared)
+    scratch.drop()
+    assert not os.path.exists(scratch.root)
+
+
+def test_line_break_in_a_text_record(spark):
+    df = spark.createDataFrame([("a\nb",)], "a string")
+    with pytest.raises(Exception, match="line break in column a"):
+        text_records(df, [("a", 9, " ")]).collect()
 
 
 @pytest.fixture

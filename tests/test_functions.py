@@ -60,7 +60,7 @@ def test_date_from_parts(spark, kind):
         (1, 0, 2019), (4, 31, 2019), (12, 31, 2019), (1, 1, 19), (1, 1, 20190), (1, 1, -2019),
         (None, 5, 2019), (1, None, 2019), (1, 5, None),
     ]
-    expected = {0: dt.date(2019, 3, 5), 1: dt.date(2020, 2, 29), 8: dt.date(2019, 12, 31)}
+    expected = {0: dt.date(2019, 3, 5), 1: dt.date(2020, 2, 29), 8: dt.date(2019, 12, 31), 9: dt.date(2019, 1, 1)}
     rows = [(i, *[None if p is None else (str(p) if kind == "string" else p) for p in part]) for i, part in enumerate(parts)]
     df = spark.createDataFrame(rows, f"i int, m {kind}, d {kind}, y {kind}")
     out = df.select("i", date_from_parts(F.col("m"), F.col("d"), F.col("y")).alias("o")).orderBy("i").collect()

@@ -17,10 +17,11 @@ RUN_ZONE = "-05:00"
 def date_from_parts(month: Column, day: Column, year: Column) -> Column:
     """Date from three whole numbers; an impossible date or a missing part gives null.
 
-    Years have four digits. The month's length is looked up, so that impossible days cost no
+    Years have four digits, or two: 00 to 68 are of this century, 69 to 99 of the last. The month's length is looked up, so that impossible days cost no
     exception per row.
     """
     m, d, y = (whole_number(part) for part in (month, day, year))
+    y = F.when(y.between(0, 68), y + 2000).when(y.between(69, 99), y + 1900).otherwise(y)
     first = F.when(
         y.between(1000, 9999) & m.between(1, 12), F.make_date(y, m, F.lit(1))
     )

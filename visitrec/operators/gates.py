@@ -14,6 +14,8 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitrec.functions import column
+
 
 def all_of(terms: Sequence[Column]) -> Column:
     return reduce(and_, terms)
@@ -25,4 +27,4 @@ def any_of(terms: Sequence[Column]) -> Column:
 
 def any_complete(df: DataFrame, columns: Sequence[str], code: int = 2) -> DataFrame:
     """Rows where at least one of the integer status columns has the code."""
-    return df.filter(any_of([F.col(c) == F.lit(code) for c in columns]))
+    return df.filter(any_of([column(c) == F.lit(code) for c in columns]))

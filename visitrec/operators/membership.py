@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from visitrec.functions import column
+
 LEFT_ONLY = "left_only"
 RIGHT_ONLY = "right_only"
 BOTH = "both"
@@ -104,12 +106,12 @@ def join_listed(
     records: DataFrame, listed: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
     """Inner join that keeps the columns of ``records``: a record comes once per listed row."""
-    return _lookup(records, listed.select(*keys), keys, "inner")
+    return _lookup(records, listed.select(*map(column, keys)), keys, "inner")
 
 
 def requested_only(records: DataFrame, listed: DataFrame, key: str) -> DataFrame:
     """Records of the listed ids. The id list stays a DataFrame; it never visits the driver."""
-    return in_both(records, listed.filter(F.col(key).isNotNull()), [key])
+    return in_both(records, listed.filter(column(key).isNotNull()), [key])
 
 
 def no_keys(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -127,11 +129,11 @@ def _lookup(
     names = {key: f"_found_{key}" for key in keys}
     renamed = found.withColumnsRenamed(names)
     condition = reduce(
-        and_, [F.col(key).eqNullSafe(F.col(names[key])) for key in keys]
+        and_, [column(key).eqNullSafe(column(names[key])) for key in keys]
     )
     joined = side.join(renamed, condition, how)
     return joined if how in ("left_anti", "left_semi") else joined.select(
-        *side.columns, *extra
+        *map(column, side.columns), *extra
     )
 
 
@@ -141,18 +143,18 @@ def _tagged(
     found = _distinct_keys(other, keys).withColumn("_hit", F.lit(True))
     joined = _lookup(side, found, keys, "left", extra=["_hit"])
     status = F.when(F.col("_hit"), F.lit(BOTH)).otherwise(F.lit(alone))
-    return joined.select(*side.columns, status.alias("status"))
+    return joined.select(*map(column, side.columns), status.alias("status"))
 
 
 def _distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.select(*keys).distinct()
+    return df.select(*map(column, keys)).distinct()
 
 
 def _count_side(
     df: DataFrame, keys: Sequence[str], left: int, right: int
 ) -> DataFrame:
     return df.select(
-        *keys,
+        *map(column, keys),
         F.lit(left).cast("long").alias("_l"),
         F.lit(right).cast("long").alias("_r"),
     )

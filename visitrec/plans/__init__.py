@@ -1,7 +1,7 @@
 """The packet rules and the two jobs: reconcile, and process one packet."""
 
 from visitrec.plans.clean import clean_local, clean_registry
-from visitrec.plans.daily import export_text, run_day, run_packet, run_reconcile, stage
+from visitrec.plans.daily import export_text, run_day, run_packet, run_reconcile
 from visitrec.plans.packets import (
     blocked_records,
     pull_records,
@@ -30,5 +30,4 @@ __all__ = [
     "run_day",
     "run_packet",
     "run_reconcile",
-    "stage",
 ]

@@ -6,7 +6,6 @@ Steps hand over through written tables, so a lost executor costs a re-read and n
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -15,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from visitrec.functions import run_date_text
 from visitrec.operators import (
+    drop_required,
     form_columns,
     keys_first,
     only_in,
@@ -30,6 +30,7 @@ from visitrec.plans.packets import (
     route_all,
 )
 from visitrec.plans.rules import (
+    IDENTIFIERS,
     PACKETS,
     PUSH_LIST_STEM,
     RECORD_COLUMNS,
@@ -45,6 +46,7 @@ from visitrec.sources import (
     read_push_list,
     read_registry,
 )
+from visitrec.storage import Scratch
 
 
 @dataclass(frozen=True)
@@ -60,18 +62,6 @@ class PacketOutput:
     blocked: str
 
 
-def stage(df: DataFrame, name: str, fallback: str) -> DataFrame:
-    """Write the frame once and read it back, in the cluster's shared checkpoint folder.
-
-    Where the session names none, ``fallback`` is used; it must be a shared folder too.
-    """
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    path = f"{root.rstrip('/')}/visitrec/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def run_reconcile(
     spark: SparkSession,
     landing: str,
@@ -83,7 +73,7 @@ def run_reconcile(
     """Compare the newest registry file with the local visits; write what each side lacks."""
     day = run_date_text(run_date)
     folder = push_folder(out_root, day)
-    scratch = f"{folder}/_stage"
+    scratch = Scratch(spark, "reconcile")
 
     latest = freshness(newest_file(landing_files(spark, landing)), day).first()
     if latest is None:
@@ -94,13 +84,13 @@ def run_reconcile(
             stacklevel=2,
         )
 
-    registry = stage(
-        clean_registry(read_registry(spark, latest["path"], multi_line)), "registry", scratch
+    registry = scratch.keep(
+        clean_registry(read_registry(spark, latest["path"], multi_line)), "registry"
     )
-    local = stage(clean_local(local_visits), "local", scratch)
+    local = scratch.keep(clean_local(local_visits), "local")
 
-    registry_only = stage(
-        only_in(registry, local, VISIT_KEYS).select(*VISIT_KEYS), "registry_only", scratch
+    registry_only = scratch.keep(
+        only_in(registry, local, VISIT_KEYS).select(*VISIT_KEYS), "registry_only"
     )
     unresolved = write_csv_if_any(
         registry_only, f"{folder}/{REGISTRY_ONLY_STEM}{day}.csv"
@@ -115,6 +105,7 @@ def run_reconcile(
         keys_first(only_in(local, registry, VISIT_KEYS), VISIT_KEYS),
         f"{folder}/{PUSH_LIST_STEM}{day}.csv",
     )
+    scratch.drop()
     return ReconcileOutput(push_list, unresolved, bool(latest["is_stale"]))
 
 
@@ -125,16 +116,19 @@ def run_packet(
     dictionary: Mapping[str, Sequence[str]],
     folder: str,
     run_date: dt.date | str,
+    stripped: bool = False,
 ) -> PacketOutput:
     """Write the ready and the blocked records of one packet.
 
+    ``stripped`` says that neither the records nor the dictionary have the identifiers any more.
+
     Only the blocked report needs the pull by participant: the ready join is on participant and
     visit number, so it already keeps listed participants alone, and wide rows move once.
     """
     day = run_date_text(run_date)
     routed = route(push_list, rule)
     ready = ready_records(
-        form_columns(records, rule.pulled, dictionary, RECORD_COLUMNS), routed, rule
+        form_columns(records, rule.pulled, dictionary, RECORD_COLUMNS), routed, rule, stripped
     )
     blocked = blocked_records(pull_records(records, routed, rule, dictionary), rule)
     return PacketOutput(
@@ -152,29 +146,34 @@ def run_day(
     out_root: str,
     run_date: dt.date | str | None = None,
     rules: Sequence[PacketRule] = PACKETS,
+    multi_line: bool | None = None,
 ) -> tuple[ReconcileOutput, dict[str, PacketOutput]]:
     """Reconcile, then all packets from the push list that was written.
 
     The wide records are read once: what any packet can need, of participants routed anywhere, is
-    stored in columns, and the ready and blocked steps of every packet scan that.
+    stored without identifiers, and the ready and blocked steps of every packet scan that.
     """
     day = run_date_text(run_date)
     folder = push_folder(out_root, day)
-    reconciled = run_reconcile(spark, landing, local_visits, out_root, day)
-    push_list = stage(
-        read_push_list(spark, reconciled.push_list), "push_list", f"{folder}/_stage"
-    )
+    reconciled = run_reconcile(spark, landing, local_visits, out_root, day, multi_line)
+    scratch = Scratch(spark, "day")
+    push_list = scratch.keep(read_push_list(spark, reconciled.push_list), "push_list")
     forms = list(dict.fromkeys(form for rule in rules for form in rule.pulled))
-    needed = form_columns(records, forms, dictionary, RECORD_COLUMNS)
-    pulled = stage(
-        requested_only(needed, route_all(push_list, rules), "ptid"),
-        "records",
-        f"{folder}/_stage",
+    needed = drop_required(
+        form_columns(records, forms, dictionary, RECORD_COLUMNS), IDENTIFIERS
     )
-    return reconciled, {
-        rule.name: run_packet(pulled, push_list, rule, dictionary, folder, day)
-        for rule in rules
-    }
+    bare = {form: [f for f in fields if f not in IDENTIFIERS] for form, fields in dictionary.items()}
+    try:
+        pulled = scratch.keep(
+            requested_only(needed, route_all(push_list, rules), "ptid"), "records"
+        )
+        packets = {
+            rule.name: run_packet(pulled, push_list, rule, bare, folder, day, stripped=True)
+            for rule in rules
+        }
+    finally:
+        scratch.drop()
+    return reconciled, packets
 
 
 def export_text(

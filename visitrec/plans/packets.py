@@ -61,10 +61,12 @@ def pull_records(
 
 
 def ready_records(
-    records: DataFrame, routed: DataFrame, rule: PacketRule
+    records: DataFrame, routed: DataFrame, rule: PacketRule, stripped: bool = False
 ) -> DataFrame:
     """Routed records with every required form verified, shaped for submission.
 
+    ``stripped`` says that the identifiers have been dropped already; else they must be there.
+
     The gate needs one record at a time, so it runs before the join: unready records do not move.
     """
     in_scope = records.filter(_event(rule) & matches(_EVENT, EVENT_PATTERN))
@@ -74,9 +76,8 @@ def ready_records(
             + [is_not_code(_status(form), VERIFIED) for form in rule.excluded]
         )
     )
-    shaped = collapse_checkboxes(
-        drop_required(passed, IDENTIFIERS), rule.checkbox_groups
-    )
+    bare = passed if stripped else drop_required(passed, IDENTIFIERS)
+    shaped = collapse_checkboxes(bare, rule.checkbox_groups)
     return join_listed(shaped, routed, RECORD_KEYS)
 
 

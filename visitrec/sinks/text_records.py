@@ -14,7 +14,8 @@ from visitrec.operators.columns import require_columns
 def text_records(df: DataFrame, layout: Sequence[tuple[str, int, str]]) -> DataFrame:
     """One column ``value``: each ``(column, width, pad)`` of the layout, padded on the right.
 
-    A value longer than its width stops the job; cutting it would lose data.
+    A value longer than its width, or one with a line break, stops the job: it would lose data or
+    break the record.
     """
     require_columns(df, [name for name, _, _ in layout])
     return df.select(F.concat(*[_cell(*item) for item in layout]).alias("value"))
@@ -32,4 +33,6 @@ def _cell(name: str, width: int, pad: str) -> Column:
     return F.when(
         F.length(text) > F.lit(width),
         F.raise_error(F.lit(f"value wider than {width} in column {name}")),
+    ).when(
+        text.rlike(r"[\r\n]"), F.raise_error(F.lit(f"line break in column {name}"))
     ).otherwise(F.rpad(text, width, pad))

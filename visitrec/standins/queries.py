@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -49,6 +48,7 @@ from visitrec.sinks import text_records, write_csv
 from visitrec.sources import freshness, read_push_list, read_records, read_registry, records_from_text
 from visitrec.sources.csv_files import declare_integers
 from visitrec.standins import tables as t
+from visitrec.storage import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -249,13 +249,8 @@ def _text_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder in the cluster's shared folder; a local session may use its own disk."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="visitrec-")
-    return f"{root.rstrip('/')}/visitrec/{uuid.uuid4().hex}/{name}"
+    """A new folder in the cluster's shared folder; see shared_folder."""
+    return f"{shared_folder(spark)}/visitrec/{uuid.uuid4().hex}/{name}"
 
 
 def _registry_csv(spark: SparkSession, sf: str) -> DataFrame:

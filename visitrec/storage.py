@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import tempfile
 import uuid
@@ -20,9 +21,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="visitrec-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_folder()
+
+
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="visitrec-")
 
 
 class Scratch:
