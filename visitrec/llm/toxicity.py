@@ -22,7 +22,7 @@ FEATURE_BITS = 20
 #: Bytes of a word's beginnings that are features of their own.
 STEM_BYTES = 4, 5
 #: Labelled rows of each class that a model is fitted on, at most.
-SAMPLE = 3000
+SAMPLE = 2000
 #: A sampled feature counts if so many texts have it.
 LEAST_TEXTS = 5
 GRADES = 4
@@ -43,6 +43,12 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - scores[:, None], -50, 50)))
 
 
+@dataclass(frozen=True)
+class Sample:
+    toxic: bool
+    features: np.ndarray
+
+
 def _features(block: A.Block) -> tuple[np.ndarray, np.ndarray]:
     """Text number and feature of every word and every word's beginning, with repeats."""
     words = A.words_of(block, A.ALNUM_BYTES)
@@ -86,12 +92,19 @@ def sample_features(documents: DataFrame, labels: DataFrame, sample: int = SAMPL
     chosen = known.filter("toxic").orderBy(rank, "doc_id").limit(sample)
     chosen = chosen.union(known.filter("NOT toxic").orderBy(rank, "doc_id").limit(sample))
     texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # 2 * sample ids
-    return (
+    rows = (
         texts.select("toxic", "text")
         .mapInArrow(_sampled, "toxic boolean, features array<int>")
         .limit(4 * sample)  # rows that repeat an id don't unbound the sample
-        .collect()
+        .toArrow()
     )
+    out = []
+    for batch in rows.to_batches():
+        lists = batch.column("features")
+        values, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
+        for toxic, a, b in zip(batch.column("toxic").to_pylist(), bounds, bounds[1:]):
+            out.append(Sample(toxic, values[a:b]))
+    return out
 
 
 def severity_grades(rows: list, grades: int = GRADES) -> np.ndarray:
@@ -129,12 +142,13 @@ def fit_ordinal(
     sizes = np.array([len(f) for f in features], dtype=np.int64)
     if not len(grades) or grades.min() == grades.max():
         return OrdinalModel(np.zeros(0, np.int64), np.zeros(0), np.full(n_grades - 1, 30.0))
-    flat = np.concatenate([np.asarray(f, dtype=np.int64) for f in features])
-    row = np.repeat(np.arange(len(features)), sizes)
-    kept, place, seen = np.unique(flat, return_inverse=True, return_counts=True)
-    use = seen[place] >= LEAST_TEXTS
-    kept_at = np.cumsum(seen >= LEAST_TEXTS) - 1
-    kept, col, row = kept[seen >= LEAST_TEXTS], kept_at[place[use]], row[use]
+    flat = np.concatenate([np.asarray(f, dtype=np.int32) for f in features])
+    seen = np.bincount(flat, minlength=1 << FEATURE_BITS)
+    kept = np.flatnonzero(seen >= LEAST_TEXTS)
+    use = seen[flat] >= LEAST_TEXTS
+    col = np.searchsorted(kept, flat[use])
+    row = np.repeat(np.arange(len(features), dtype=np.int32), sizes)[use]
+    del flat, use
     n, m = len(features), len(kept)
     clean = grades == 0
     share = np.where(clean, 0.5 / clean.sum(), 0.5 / (~clean).sum())
