@@ -25,6 +25,7 @@ from visitrec.storage import Scratch
 from visitrec.plans.rules import IDENTIFIERS, VISIT_FIELDS
 from visitrec.sinks import push_folder, text_records, write_csv, write_csv_if_any, write_text_records
 from visitrec.sources.csv_files import breaks_in_quotes
+from visitrec.sources.landing import literal_path
 from visitrec.sources import (
     freshness,
     landing_files,
@@ -163,6 +164,33 @@ def test_records(spark, tmp_path):
     assert records_from_text(text, "t", ["ptid", "visitnum"]).collect() == df.collect()
 
 
+def test_fields_that_no_record_holds_stop_the_job(spark, tmp_path):
+    fields = ["ptid", "status"]
+    late = put(tmp_path / "late.json", json.dumps([{"ptid": "p"}, {"ptid": "q", "status": ""}]))
+    assert read_records(spark, late, fields).count() == 2
+    blank = put(tmp_path / "blank.json", json.dumps([{"ptid": "p", "status": ""}]))
+    assert read_records(spark, blank, fields).first().status is None
+    for body, absent in (([{"ptid": "p", "state": "2"}], "status"), ({"error": "no"}, "ptid, status")):
+        path = put(tmp_path / "a.json", json.dumps(body))
+        with pytest.raises(ValueError, match=f"no record holds: {absent}$"):
+            read_records(spark, path, fields)
+    text = spark.createDataFrame([('[{"ptid": "p"}]',), ('[{"ptid": "q"}]',)], "t string")
+    with pytest.raises(ValueError, match="no record holds: status"):
+        records_from_text(text, "t", fields)
+    assert read_records(spark, put(tmp_path / "none.json", "[]"), fields).count() == 0
+
+
+def test_landing_takes_names_as_they_are(spark, tmp_path):
+    folder = tmp_path / "in[1]{a}"
+    (folder / "a=1").mkdir(parents=True)
+    put(folder / "a=1" / "new.csv", "x", at("2024-03-09"))
+    put(folder / "x[1]*?.csv", "k\nv\n", at("2024-03-01"))
+    put(folder / "x1.csv", "k\nw\n", at("2024-02-01"))
+    files = landing_files(spark, f"{folder}/")
+    assert sorted(os.path.basename(row.path) for row in files.collect()) == ["x1.csv", "x[1]*?.csv"]
+    assert [r.k for r in read_csv(spark, literal_path(newest_file(files).first().path)).collect()] == ["v"]
+
+
 def test_malformed_records_stop_the_job(spark, tmp_path):
     path = put(tmp_path / "a.json", '[{"ptid": "p"}, {"ptid": ]')
     with pytest.raises(JOB_FAILS):
@@ -295,13 +323,19 @@ def test_day(spark, tmp_path, local_visits, landing):
     for rule in PACKETS:
         dictionary.update({form: fields for form, fields in every_form(rule).items() if fields or form not in dictionary})
     with pytest.warns(UserWarning):
-        _, packets = run_day(spark, landing, local_visits, all_packets(spark), dictionary, str(tmp_path), DAY)
-    ready = {name: [r.ptid for r in read_push_list(spark, out.ready).collect()] for name, out in packets.items()}
+        _, packets = run_day(
+            spark, landing, local_visits, all_packets(spark), dictionary, str(tmp_path), DAY,
+            exports={"ivp": ({"ptid": "ID"}, [("ID", 12, " ")])},
+        )
+    csv, text = packets["ivp"].exported
+    assert read_push_list(spark, csv).first()["ID"] == "UM00000009" and lines(text) == ["UM00000009  "]
+    assert packets["fvp"].exported is None
+    ready ={name: [r.ptid for r in read_push_list(spark, out.ready).collect()] for name, out in packets.items()}
     assert ready == {"ivp": ["UM00000009"], "fvp": ["UM00000014"], "tvp": ["UM00000014"], "tvpc2": []}
     blocked = {name: read_push_list(spark, out.blocked).count() for name, out in packets.items()}
     assert blocked == {"ivp": 0, "fvp": 0, "tvp": 0, "tvpc2": 1}
     names = {os.path.basename(p) for p in glob.glob(f"{tmp_path}/push_{DAY}/*.csv")}
-    assert names == {
+    assert names - {os.path.basename(csv)} == {
         f"df_redcap_yes_nacc_no_{DAY}.csv", f"df_redcap_no_nacc_yes_{DAY}.csv",
         *[f"{mark}NACC_UDS3_{p}_{DAY}.csv" for mark in ("", "BLOCKED_") for p in ("ivp", "fvp", "tvp", "tvpc2")],
     }

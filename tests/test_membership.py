@@ -124,11 +124,13 @@ def test_newest_and_order(spark):
 
 def test_key_batches(spark):
     rows = [("UM00000001",), ("UM00000003",), ("UM00000001",), ("UM00001001",), (None,)]
-    out = key_batches(spark.createDataFrame(rows, "ptid string"), "ptid").orderBy("batch").collect()
-    assert [tuple(row) for row in out] == [
-        ("UM00000", 2, "UM00000001,UM00000003"),
-        ("UM00001", 1, "UM00001001"),
-    ]
+    out = key_batches(spark.createDataFrame(rows, "ptid string"), "ptid").collect()
+    assert [tuple(row) for row in out] == [("0-0", 3, "UM00000001,UM00000003,UM00001001")]
+    letters = ["x" * 9 + "".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(1500)]
+    out = key_batches(spark.createDataFrame([(x,) for x in letters * 2], "`p.id` string"), "p.id", size=100).collect()
+    assert all(row.n_ids == len(row.id_list.split(",")) <= 100 for row in out)
+    assert sorted(x for row in out for x in row.id_list.split(",")) == sorted(letters)
+    assert len({row.batch for row in out}) == len(out) < 40
     assert key_batches(spark.createDataFrame([], "ptid string"), "ptid").count() == 0
 
 

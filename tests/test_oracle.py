@@ -69,8 +69,6 @@ def test_newest_is_a_top_one(spark, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {"matched_local", "matched_registry"}))
 def test_no_sort_of_all_rows_and_no_python(spark, name):
-    if name.endswith("_csv") or name == "visit_json":
-        pytest.skip("writes files first")
     plan = plan_of(QUERIES[name](spark, SF_DIR))
     for banned in ("rangepartitioning", "SinglePartition", "Cartesian", "NestedLoop", "EvalPython", "Window"):
         if banned == "SinglePartition" and name in ("reconcile_status_counts", "registry_discrepancy"):

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from visitrec.functions import column
+
 
 def newest(df: DataFrame, by: str, tie: str) -> DataFrame:
     """The row with the largest ``by``; the smallest ``tie`` wins a draw. Planned as a top-1."""
@@ -24,22 +26,26 @@ def in_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def key_batches(df: DataFrame, key: str, sep: str = ",", digits: int = 3) -> DataFrame:
-    """The ids as ready-made request lists: rows ``(batch, n_ids, id_list)``.
+def key_batches(df: DataFrame, key: str, sep: str = ",", size: int = 1000) -> DataFrame:
+    """The ids as ready-made request lists of ``size`` ids at most: rows ``(batch, n_ids, id_list)``.
 
-    One list of all ids would be a single value that grows with the data. Ids that agree in all but
-    their last ``digits`` characters share a batch, so a batch holds at most 10**digits numeric ids.
-    An id asked for twice is sent once; the set is built before the shuffle, so repeats cost nothing.
+    One list of all ids would be a single value that grows with the data. The ids are counted once, and a
+    digest of each deals them into so many buckets that one holds ``size`` on average, whatever the ids
+    look like; a fuller bucket is cut. An id asked for twice is sent once; the set is built before the
+    shuffle, so repeats cost nothing.
     """
-    text = F.col(key)
-    batch = F.left(text, F.length(text) - F.lit(digits))
+    ids = df.select(column(key).alias("id")).filter("id IS NOT NULL")
+    buckets = max(1, -(-ids.agg(F.count_distinct("id")).first()[0] // size))
+    digest = F.conv(F.left(F.md5("id"), F.lit(8)), 16, 10).cast("long")
+    starts = F.sequence(F.lit(1), F.size("ids"), F.lit(size))
+    parts = F.transform(starts, lambda start: F.slice("ids", start, F.lit(size)))
     return (
-        df.filter(text.isNotNull())
-        .groupBy(batch.alias("batch"))
-        .agg(F.sort_array(F.collect_set(text)).alias("_ids"))
+        ids.groupBy((digest % buckets).alias("bucket"))
+        .agg(F.sort_array(F.collect_set("id")).alias("ids"))
+        .select("bucket", F.posexplode(parts).alias("part", "ids"))
         .select(
-            "batch",
-            F.size("_ids").alias("n_ids"),
-            F.array_join("_ids", sep).alias("id_list"),
+            F.concat_ws("-", "bucket", "part").alias("batch"),
+            F.size("ids").alias("n_ids"),
+            F.array_join("ids", sep).alias("id_list"),
         )
     )

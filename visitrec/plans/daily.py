@@ -11,15 +11,15 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from visitrec.functions import run_date_text
+from visitrec.functions import clean_cell, column, run_date_text
 from visitrec.operators import (
     drop_required,
     form_columns,
     keys_first,
     only_in,
     rename_headers,
-    requested_only,
 )
 from visitrec.plans.clean import clean_local, clean_registry
 from visitrec.plans.packets import (
@@ -43,9 +43,9 @@ from visitrec.sources import (
     freshness,
     landing_files,
     newest_file,
-    read_push_list,
     read_registry,
 )
+from visitrec.sources.landing import literal_path
 from visitrec.storage import Scratch
 
 
@@ -60,6 +60,11 @@ class ReconcileOutput:
 class PacketOutput:
     ready: str
     blocked: str
+    exported: tuple[str, str] | None = None
+
+
+#: The registry's headers by ours, and the layout of its text records.
+Export = tuple[Mapping[str, str], Sequence[tuple[str, int, str]]]
 
 
 def run_reconcile(
@@ -71,9 +76,25 @@ def run_reconcile(
     multi_line: bool | None = None,
 ) -> ReconcileOutput:
     """Compare the newest registry file with the local visits; write what each side lacks."""
+    scratch = Scratch(spark, "reconcile")
+    try:
+        return _reconcile(spark, landing, local_visits, out_root, run_date, multi_line, scratch)[0]
+    finally:
+        scratch.drop()
+
+
+def _reconcile(
+    spark: SparkSession,
+    landing: str,
+    local_visits: DataFrame,
+    out_root: str,
+    run_date: dt.date | str | None,
+    multi_line: bool | None,
+    scratch: Scratch,
+) -> tuple[ReconcileOutput, DataFrame]:
+    """The outputs, and the push list as a table of the scratch folder."""
     day = run_date_text(run_date)
     folder = push_folder(out_root, day)
-    scratch = Scratch(spark, "reconcile")
 
     latest = freshness(newest_file(landing_files(spark, landing)), day).first()
     if latest is None:
@@ -85,7 +106,7 @@ def run_reconcile(
         )
 
     registry = scratch.keep(
-        clean_registry(read_registry(spark, latest["path"], multi_line)), "registry"
+        clean_registry(read_registry(spark, literal_path(latest["path"]), multi_line)), "registry"
     )
     local = scratch.keep(clean_local(local_visits), "local")
 
@@ -101,12 +122,11 @@ def run_reconcile(
             stacklevel=2,
         )
 
-    push_list = write_csv(
-        keys_first(only_in(local, registry, VISIT_KEYS), VISIT_KEYS),
-        f"{folder}/{PUSH_LIST_STEM}{day}.csv",
+    pushed = scratch.keep(
+        keys_first(only_in(local, registry, VISIT_KEYS), VISIT_KEYS), "push_list"
     )
-    scratch.drop()
-    return ReconcileOutput(push_list, unresolved, bool(latest["is_stale"]))
+    push_list = write_csv(pushed, f"{folder}/{PUSH_LIST_STEM}{day}.csv")
+    return ReconcileOutput(push_list, unresolved, bool(latest["is_stale"])), pushed
 
 
 def run_packet(
@@ -117,24 +137,35 @@ def run_packet(
     folder: str,
     run_date: dt.date | str,
     stripped: bool = False,
+    pulled: bool = False,
+    export: Export | None = None,
 ) -> PacketOutput:
-    """Write the ready and the blocked records of one packet.
+    """Write the ready and the blocked records of one packet, and the export if one is described.
 
-    ``stripped`` says that neither the records nor the dictionary have the identifiers any more.
+    ``stripped`` says that neither the records nor the dictionary have the identifiers any more, and
+    ``pulled`` that the records are those of the routed participants alone.
 
     Only the blocked report needs the pull by participant: the ready join is on participant and
     visit number, so it already keeps listed participants alone, and wide rows move once.
     """
     day = run_date_text(run_date)
     routed = route(push_list, rule)
-    ready = ready_records(
-        form_columns(records, rule.pulled, dictionary, RECORD_COLUMNS), routed, rule, stripped
-    )
-    blocked = blocked_records(pull_records(records, routed, rule, dictionary), rule)
-    return PacketOutput(
-        ready=write_csv(ready, f"{folder}/{rule.output_stem}{day}.csv"),
-        blocked=write_csv(blocked, f"{folder}/{rule.blocked_stem}{day}.csv"),
+    wide = form_columns(records, rule.pulled, dictionary, RECORD_COLUMNS)
+    ready = ready_records(wide, routed, rule, stripped)
+    blocked = blocked_records(
+        wide if pulled else pull_records(records, routed, rule, dictionary), rule
     )
+    scratch = Scratch(records.sparkSession, "packet")
+    try:
+        if export:
+            ready = scratch.keep(ready, "ready")
+        return PacketOutput(
+            ready=write_csv(ready, f"{folder}/{rule.output_stem}{day}.csv"),
+            blocked=write_csv(blocked, f"{folder}/{rule.blocked_stem}{day}.csv"),
+            exported=export_text(ready, *export, rule, folder, day) if export else None,
+        )
+    finally:
+        scratch.drop()
 
 
 def run_day(
@@ -147,28 +178,54 @@ def run_day(
     run_date: dt.date | str | None = None,
     rules: Sequence[PacketRule] = PACKETS,
     multi_line: bool | None = None,
+    exports: Mapping[str, Export] | None = None,
 ) -> tuple[ReconcileOutput, dict[str, PacketOutput]]:
-    """Reconcile, then all packets from the push list that was written.
+    """Reconcile, then all packets from the push list; packets named in ``exports`` are exported too.
 
-    The wide records are read once: what any packet can need, of participants routed anywhere, is
-    stored without identifiers, and the ready and blocked steps of every packet scan that.
+    The wide records are read and moved once: what any packet can need, of participants routed
+    anywhere, is stored without identifiers, with a mark for each packet that the participant is
+    routed to. The ready and blocked steps of every packet scan that; the blocked one joins nothing.
     """
     day = run_date_text(run_date)
     folder = push_folder(out_root, day)
-    reconciled = run_reconcile(spark, landing, local_visits, out_root, day, multi_line)
-    scratch = Scratch(spark, "day")
-    push_list = scratch.keep(read_push_list(spark, reconciled.push_list), "push_list")
     forms = list(dict.fromkeys(form for rule in rules for form in rule.pulled))
     needed = drop_required(
         form_columns(records, forms, dictionary, RECORD_COLUMNS), IDENTIFIERS
     )
     bare = {form: [f for f in fields if f not in IDENTIFIERS] for form, fields in dictionary.items()}
+    marks = {rule.name: f"_routed_{rule.name}" for rule in rules}
+    scratch = Scratch(spark, "day")
     try:
+        reconciled, pushed = _reconcile(
+            spark, landing, local_visits, out_root, day, multi_line, scratch
+        )
+        # every cell as the written list would give it back
+        push_list = pushed.select(
+            *[clean_cell(column(c).cast("string")).alias(c) for c in pushed.columns]
+        )
+        routed = (
+            route_all(push_list, rules)
+            .filter("ptid IS NOT NULL")
+            .groupBy(F.col("ptid").alias("_routed_ptid"))
+            .agg(*[F.bool_or(F.col("packet") == name).alias(mark) for name, mark in marks.items()])
+        )
+        # null-safe for the shuffle's sake: see operators.membership
         pulled = scratch.keep(
-            requested_only(needed, route_all(push_list, rules), "ptid"), "records"
+            needed.join(routed, F.col("ptid").eqNullSafe(F.col("_routed_ptid"))).drop("_routed_ptid"),
+            "records",
         )
         packets = {
-            rule.name: run_packet(pulled, push_list, rule, bare, folder, day, stripped=True)
+            rule.name: run_packet(
+                pulled.filter(marks[rule.name]),
+                push_list,
+                rule,
+                bare,
+                folder,
+                day,
+                stripped=True,
+                pulled=True,
+                export=(exports or {}).get(rule.name),
+            )
             for rule in rules
         }
     finally:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,14 +14,28 @@ from visitrec.operators.ranking import newest
 
 
 def landing_files(spark: SparkSession, folder: str) -> DataFrame:
-    """``(path, modified)`` of the files directly in the folder. File contents are not read."""
+    """``(path, modified)`` of the files directly in the folder. File contents are not read.
+
+    The lookup is recursive because it else takes a subfolder ``name=value`` for a partition and leaves
+    out the files beside it; what lies deeper is dropped.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    parent = F.regexp_replace("path", "/[^/]*$", "")
     return (
         spark.read.format("binaryFile")
-        .load(folder)
+        .option("recursiveFileLookup", True)
+        .load(literal_path(folder))
+        .filter(parent == system.makeQualified(path).toString())
         .select("path", F.col("modificationTime").alias("modified"))
     )
 
 
+def literal_path(path: str) -> str:
+    """The path with marks of patterns escaped: readers take it as it is."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def newest_file(files: DataFrame) -> DataFrame:
     """The newest file; the first path wins a draw."""
     return newest(files, by="modified", tie="path")

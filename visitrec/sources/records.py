@@ -24,6 +24,9 @@ def read_records(
 ) -> DataFrame:
     """Records with the given fields, in the given order. Malformed JSON stops the job.
 
+    So does a field that is in no record, as when it was renamed or an error message was landed instead
+    of records. A field that is ``""`` everywhere is there; one that is null everywhere is not.
+
     A JSON array cannot be split, so a landing of arrays should be many files. For large landings
     use JSON lines (``one_array_per_file=False``), which Spark splits.
     """
@@ -33,12 +36,30 @@ def read_records(
         .option("mode", "FAILFAST")
         .json(path if isinstance(path, str) else list(path))
     )
-    return blanks_to_null(raw)
+    return blanks_to_null(require_held(raw))
 
 
 def records_from_text(
     df: DataFrame, column: Column | str, fields: Sequence[str]
 ) -> DataFrame:
-    """One row per object of the JSON arrays held in a text column."""
+    """One row per object of the JSON arrays held in a text column. A field in no object stops the job."""
     parsed = F.from_json(named(column), T.ArrayType(text_schema(fields)), {"mode": "FAILFAST"})
-    return blanks_to_null(df.select(F.inline(parsed)))
+    return blanks_to_null(require_held(df.select(F.inline(parsed))))
+
+
+def require_held(records: DataFrame) -> DataFrame:
+    """The records, if each of their columns has a value in some record, or there are no records.
+
+    One record that holds all fields is proof enough; only fields that the first one lacks are looked for
+    in all records, so the usual landing is not read twice.
+    """
+    first = records.first()
+    if first is None:
+        return records
+    lacking = [name for name in records.columns if first[name] is None]
+    if lacking:
+        held = records.agg(*[F.count(named(name)) > 0 for name in lacking]).first()
+        absent = [name for name, found in zip(lacking, held) if not found]
+        if absent:
+            raise ValueError(f"fields that no record holds: {', '.join(absent)}")
+    return records

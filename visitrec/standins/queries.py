@@ -43,8 +43,8 @@ from visitrec.plans import (
     route,
     route_all,
 )
-from visitrec.plans.rules import RECORD_COLUMNS, VISIT_FIELDS
-from visitrec.sinks import text_records, write_csv
+from visitrec.plans.rules import RECORD_COLUMNS, REGISTRY_ONLY_STEM, VISIT_FIELDS
+from visitrec.sinks import push_folder, text_records, write_csv, write_csv_if_any, write_text_records
 from visitrec.sources import freshness, read_push_list, read_records, read_registry, records_from_text
 from visitrec.sources.csv_files import declare_integers
 from visitrec.standins import tables as t
@@ -143,7 +143,7 @@ def _requested_orders(spark: SparkSession, sf: str) -> DataFrame:
 def _key_batches(spark: SparkSession, sf: str) -> DataFrame:
     owner = F.lpad(F.col("o_custkey").cast("string"), 8, "0")
     orders = t.load(spark, sf, "orders").select(F.concat(F.lit("UM"), owner).alias("ptid"))
-    return key_batches(orders, "ptid", digits=2)
+    return key_batches(orders, "ptid", size=100)
 
 
 def _date_from_parts(spark: SparkSession, sf: str) -> DataFrame:
@@ -274,6 +274,20 @@ def _document_csv(spark: SparkSession, sf: str) -> DataFrame:
     return read_push_list(spark, write_csv(documents, _shared_path(spark, "documents")))
 
 
+def _registry_only_csv(spark: SparkSession, sf: str) -> DataFrame:
+    folder = push_folder(_shared_path(spark, "pushes"), "2024-03-02")
+    rows = _registry_only(spark, sf)
+    path = write_csv_if_any(rows, f"{folder}/{REGISTRY_ONLY_STEM}2024-03-02.csv")
+    return read_push_list(spark, path) if path else rows
+
+
+def _text_records_file(spark: SparkSession, sf: str) -> DataFrame:
+    flag = F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag")
+    lines = t.load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", flag)
+    layout = [("l_orderkey", 12, " "), ("l_linenumber", 2, "."), ("flag", 3, "_")]
+    return spark.read.text(write_text_records(lines, layout, _shared_path(spark, "records.txt")))
+
+
 QUERIES: dict[str, Query] = {
     "registry_clean": _registry,
     "local_clean": _local,
@@ -315,4 +329,6 @@ QUERIES: dict[str, Query] = {
     "push_list_csv": _push_list_csv,
     "visit_json": _visit_json,
     "document_csv": _document_csv,
+    "registry_only_csv": _registry_only_csv,
+    "text_records_file": _text_records_file,
 }

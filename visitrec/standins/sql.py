@@ -202,10 +202,17 @@ FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderk
 SELECT o_custkey AS custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
 FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'HOUSEHOLD')""",
     "key_batches": """
-SELECT left(ptid, 8) AS batch, CAST(count(*) AS INTEGER) AS n_ids,
+WITH ids AS (SELECT DISTINCT 'UM' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS ptid FROM orders),
+dealt AS (
+  SELECT ptid, CAST('0x' || left(md5(ptid), 8) AS BIGINT)
+    % greatest(1, (SELECT (count(*) + 99) // 100 FROM ids)) AS bucket
+  FROM ids
+), placed AS (
+  SELECT *, (row_number() OVER (PARTITION BY bucket ORDER BY ptid) - 1) // 100 AS part FROM dealt
+)
+SELECT bucket || '-' || part AS batch, CAST(count(*) AS INTEGER) AS n_ids,
   string_agg(ptid, ',' ORDER BY ptid) AS id_list
-FROM (SELECT DISTINCT 'UM' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS ptid FROM orders)
-GROUP BY left(ptid, 8)""",
+FROM placed GROUP BY bucket, part""",
     "date_from_parts": """
 SELECT l_orderkey, l_linenumber,
   CAST(try_strptime(month(l_shipdate) || '-' || CAST(l_quantity AS INTEGER) || '-' || year(l_shipdate),
@@ -260,6 +267,13 @@ SELECT c_custkey AS "ID", c_name, c_nationkey, c_acctbal, c_mktsegment AS "SEGME
 SELECT rpad(CAST(l_orderkey AS VARCHAR), 12, ' ') || rpad(CAST(l_linenumber AS VARCHAR), 2, '.')
   || rpad(CASE WHEN l_returnflag <> 'N' THEN l_returnflag ELSE '' END, 3, '_') AS value
 FROM lineitem""",
+    "text_records_file": """
+SELECT rpad(CAST(l_orderkey AS VARCHAR), 12, ' ') || rpad(CAST(l_linenumber AS VARCHAR), 2, '.')
+  || rpad(CASE WHEN l_returnflag <> 'N' THEN l_returnflag ELSE '' END, 3, '_') AS value
+FROM lineitem""",
+    "registry_only_csv": _with(*SIDES)
+    + "SELECT ptid, CAST(form_date AS VARCHAR) AS form_date, visitnum FROM registry a"
+    + f" WHERE NOT {_exists('local_visits')}",
     "registry_csv": _with(REGISTRY_RAW)
     + "SELECT PTID, TRY_CAST(VISITMO AS INTEGER) AS VISITMO, TRY_CAST(VISITDAY AS INTEGER) AS VISITDAY,"
     " TRY_CAST(VISITYR AS INTEGER) AS VISITYR, VISITNUM, FORMVER FROM registry_raw",
