@@ -182,7 +182,7 @@ def run_day(
 ) -> tuple[ReconcileOutput, dict[str, PacketOutput]]:
     """Reconcile, then all packets from the push list; packets named in ``exports`` are exported too.
 
-    The wide records are read and moved once: what any packet can need, of participants routed
+    The wide records are read once: what any packet can need, of participants routed
     anywhere, is stored without identifiers, with a mark for each packet that the participant is
     routed to. The ready and blocked steps of every packet scan that; the blocked one joins nothing.
     """
