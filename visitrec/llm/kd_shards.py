@@ -4,15 +4,14 @@ The root is all documents. A node that must make several shards is cut at a weig
 dimension in which it is widest, at the point that leaves each side the bytes of its share of the shards.
 All nodes of a level are cut together. The median is found by counting bytes in bins and looking closer into
 the bin that holds it, so a cut costs a few aggregations whose results have one row for each node and bin.
+The tree has one node for each shard at most; rows walk down it as a constant, without a join.
 
 Everything is DataFrame operations over narrow rows; texts are read once, for size and checksum.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -20,13 +19,16 @@ from visitrec.storage import Scratch
 
 SHARDS = 40
 #: Bins of one look, and looks. A place is ``PLACE_BITS`` of the dimension, then of a hash of doc_id.
-BINS, LOOKS = 1 << 12, 4
+BINS, LOOKS = 1 << 9, 6
 #: A look is the last if the bin holds no more than this part of a shard.
 FINE = 1 / 2000
 PLACE_BITS, TIE_BITS = 24, 30
 #: Rows numbered by one task.
 CHUNK_ROWS = 20_000
 
+#: Dimension, last place before the cut, and the node that takes the places behind it.
+Cut = tuple[int, int, int]
+
 
 def _levels(shards: int) -> list[list[tuple[int, int]]]:
     """For each level, the nodes that are cut, as ranges of shards."""
@@ -82,15 +84,38 @@ def _measured(
     return rows.select("doc_id", "size", "text_crc32", F.array(*places).alias("places")), len(names)
 
 
-def _table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A table with one row for each node at most; Spark knows its size."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
+def _walked(places: Column, tree: list[dict[int, Cut]]) -> Column:
+    """The node that a row reaches when it walks down the levels of the tree; the tree is a constant."""
+    if not tree:
+        return F.lit(0)
+    nodes = max(max(level) for level in tree) + 1
+    none = F.lit(None).cast("struct<dim:int,cut:bigint,middle:int>")
+
+    def node(cut: Cut | None) -> Column:
+        if cut is None:
+            return none
+        dim, place, middle = cut
+        return F.struct(
+            F.lit(dim).alias("dim"), F.lit(place).cast("long").alias("cut"), F.lit(middle).alias("middle")
+        )
+
+    levels = F.array(*(F.array(*(node(level.get(n)) for n in range(nodes))) for level in tree))
+
+    def step(at: Column, level: Column) -> Column:
+        cut = F.get(level, at)
+        return F.when(F.get(places, cut["dim"]) > cut["cut"], cut["middle"]).otherwise(at)
+
+    return F.aggregate(levels, F.lit(0), step)
+
 
+def _by_node(values: dict[int, int], kind: str) -> Column:
+    """The value of a row's node; null for a node without one."""
+    listed = F.array(*(F.lit(values.get(n)).cast(kind) for n in range(max(values) + 1)))
+    return F.get(listed, F.col("node"))
 
-def _cuts(
-    spark: SparkSession, rows: DataFrame, level: list[tuple[int, int]], width: int
-) -> list[tuple[int, int, int]]:
-    """For each node of a level: its first shard, the dimension of the cut, and the last place before it."""
+
+def _cuts(rows: DataFrame, level: list[tuple[int, int]], width: int) -> dict[int, Cut]:
+    """For each node of a level: the dimension of the cut, the last place before it, and the node behind it."""
     spans = (
         rows.groupBy("node")
         .agg(
@@ -110,43 +135,42 @@ def _cuts(
             state[r.node] = [dim, r.bytes * part // whole, r[f"low{dim}"], r[f"high{dim}"], 0, r.bytes]
             fine[r.node] = r.bytes / whole * FINE
     for _ in range(LOOKS):
-        now = [
-            (n, dim, low, max(1, -(-(high - low + 1) // BINS)), high)
+        now = {
+            n: (dim, low, max(1, -(-(high - low + 1) // BINS)), high)
             for n, (dim, _, low, high, _, held) in state.items()
             if high > low and held > fine[n]
-        ]
+        }
         if not now:
             break
-        looks = _table(spark, now, "node int, dim int, low long, step long, high long")
-        place = F.get("places", F.col("dim"))
+        dim, low, step, high = (
+            _by_node({n: v[i] for n, v in now.items()}, kind)
+            for i, kind in enumerate(("int", "long", "long", "long"))
+        )
         sums = (
-            rows.join(looks, "node")
-            .filter((place >= F.col("low")) & (place <= F.col("high")))
-            .groupBy("node", F.expr("(get(places, dim) - low) div step").alias("bin"))
+            rows.select("node", "size", F.get("places", dim).alias("place"), low.alias("low"), step.alias("step"), high.alias("high"))
+            .filter("place BETWEEN low AND high")
+            .groupBy("node", F.expr("(place - low) div step").alias("bin"))
             .agg(F.sum("size").alias("bytes"))
+            .collect()  # BINS rows for each node at most, whatever the size of the input
         )
-        upto = Window.partitionBy("node").orderBy("bin")
-        goals = _table(spark, [(n, s[1] - s[4]) for n, s in state.items()], "node int, goal long")
-        reached = (
-            sums.withColumn("upto", F.sum("bytes").over(upto))  # at most BINS rows for each node
-            .join(goals, "node")
-            .filter(F.col("upto") >= F.col("goal"))
-            .groupBy("node")
-            .agg(F.min("bin").alias("bin"), F.min_by(F.struct("upto", "bytes"), "bin").alias("at"))
-            .collect()
-        )
-        steps = {n: step for n, _, _, step, _ in now}
-        for r in reached:
+        found = set()
+        for r in sorted(sums):
             s = state[r.node]
-            s[4] += r["at"]["upto"] - r["at"]["bytes"]
-            s[5] = r["at"]["bytes"]
-            s[2] += r.bin * steps[r.node]
-            s[3] = min(s[3], s[2] + steps[r.node] - 1)
+            if r.node in found:
+                continue
+            if s[4] + r.bytes < s[1]:
+                s[4] += r.bytes
+                continue
+            found.add(r.node)  # this bin holds the goal
+            _, first, wide, last = now[r.node]
+            s[2:4] = first + r.bin * wide, min(last, first + (r.bin + 1) * wide - 1)
+            s[5] = r.bytes
     # the last bin goes where that leaves the bytes nearer to their goal
-    return [
-        (node, dim, high if 2 * (goal - below) >= held else low - 1)
+    middle = {a: (a + b) // 2 for a, b in level}
+    return {
+        node: (dim, high if 2 * (goal - below) >= held else low - 1, middle[node])
         for node, (dim, goal, low, high, below, held) in state.items()
-    ]
+    }
 
 
 def shard_documents(
@@ -165,17 +189,12 @@ def shard_documents(
     spark = documents.sparkSession
     scratch = Scratch(spark, "shards")
     rows, width = _measured(documents, dimensions or default_dimensions(documents), scratch)
-    rows = rows.withColumn("node", F.lit(0))
+    tree: list[dict[int, Cut]] = []
     for level in _levels(shards):
-        cuts = _cuts(spark, rows, level, width)
-        middle = {a: (a + b) // 2 for a, b in level}
-        table = [(node, dim, place, middle[node]) for node, dim, place in cuts]
-        right = F.get("places", F.col("dim")) > F.col("cut")
-        rows = (
-            rows.join(_table(spark, table, "node int, dim int, cut long, middle int"), "node", "left")
-            .withColumn("node", F.when(right, F.col("middle")).otherwise(F.col("node")))
-            .drop("dim", "cut", "middle")
-        )
+        cuts = _cuts(rows.withColumn("node", _walked(F.col("places"), tree)), level, width)
+        if cuts:
+            tree.append(cuts)
+    rows = rows.withColumn("node", _walked(F.col("places"), tree))
     return _numbered(
         scratch.keep(
             rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("node").alias("shard")),
