@@ -10,6 +10,8 @@ one. Nothing else can be part of a span, so every text is searched whole.
 
 from __future__ import annotations
 
+import functools
+import heapq
 import re
 import zlib
 from collections.abc import Iterator
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitrec.llm import arrays as A
+from visitrec.storage import Scratch
 
 KINDS = ("email", "ip", "card", "phone")
 #: Labels of words: none, and one for each kind.
@@ -91,6 +94,7 @@ def _shape(word: str) -> str:
     return _NUMBER.sub(lambda m: f"0{min(len(m[0]), 20)}", _LETTERS.sub("a", word))[:24]
 
 
+@functools.lru_cache(maxsize=1 << 16)
 def _code(name: str) -> int:
     data = np.frombuffer(name.encode(), np.uint8)
     if not len(data):
@@ -103,6 +107,10 @@ _TRIM = "\"'.,;:!?<>[]{}*#&%$|"
 
 def word_features(word: str) -> tuple[int, ...]:
     """Hashed features of a word: its shape, its shape without outer marks, its digits, its signs, its check."""
+    return _short_features(word) if len(word) <= 64 else _features(word)
+
+
+def _features(word: str) -> tuple[int, ...]:
     if not any(c in "@+" or "0" <= c <= "9" for c in word):
         return (_code("plain"),) * 5
     core = word.strip(_TRIM)
@@ -119,6 +127,10 @@ def word_features(word: str) -> tuple[int, ...]:
     )
 
 
+#: Words recur; only short ones are held, so the memory is bounded.
+_short_features = functools.lru_cache(maxsize=1 << 15)(_features)
+
+
 def stretches(text: str) -> Iterator[list[tuple[int, int]]]:
     """Bounds of the words of each stretch."""
     words, last, pending = [], -NEIGHBOURS - 1, []
@@ -163,38 +175,47 @@ class CrfModel:
 def labelled_table(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Stretches with the labels that the base patterns give: features (5 for each word) and labels.
 
-    ``sample`` stretches at most, chosen by a hash of their place; those with a span and those without have a
-    half each. Only texts with marked words give any.
+    ``sample`` stretches at most, chosen by a hash of their text; those with a span and those without have a
+    half each. Only texts with marked words give any. Each task reads its texts once and passes on its own
+    first stretches of either kind, so what is ordered is bounded by the number of tasks.
     """
+    half = sample // 2
+    scratch = Scratch(documents.sparkSession, "labelled")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first: tuple[list, list] = [], []  # heaps, the last of the first stretches on top
         for batch in batches:
-            flags, rank, features, labels = [], [], [], []
             for _, _, text in _marked_texts(batch):
                 spans = base_spans(text)
                 for words in stretches(text):
                     words = words[:64]  # of the sample only
                     own = _labels_of(words, spans)
-                    flags.append(any(own))
-                    rank.append(_rank(text[words[0][0] : words[-1][1]]))
-                    features.append([f for a, b in words for f in word_features(text[a:b])])
-                    labels.append(own)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(flags, pa.bool_()),
-                    pa.array(rank, pa.int64()),
-                    pa.array(features, pa.list_(pa.int32())),
-                    pa.array(labels, pa.list_(pa.int32())),
-                ],
-                names=["found", "rank", "features", "labels"],
-            )
-
-    rows = documents.select("text").mapInArrow(
-        cut, "found boolean, rank long, features array<int>, labels array<int>"
+                    heap = first[any(own)]
+                    stretch = text[words[0][0] : words[-1][1]]
+                    rank = _rank(stretch)
+                    if len(heap) < half or heap and -rank > heap[0][0]:
+                        entry = (-rank, stretch, [text[a:b] for a, b in words], own)
+                        (heapq.heappush if len(heap) < half else heapq.heapreplace)(heap, entry)
+        rows = [(found, entry) for found, heap in enumerate(first) for entry in heap]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([bool(found) for found, _ in rows], pa.bool_()),
+                pa.array([-e[0] for _, e in rows], pa.int64()),
+                pa.array([[f for w in e[2] for f in word_features(w)] for _, e in rows], pa.list_(pa.int32())),
+                pa.array([e[3] for _, e in rows], pa.list_(pa.int32())),
+            ],
+            names=["found", "rank", "features", "labels"],
+        )
+
+    rows = scratch.keep(
+        documents.select("text").mapInArrow(
+            cut, "found boolean, rank long, features array<int>, labels array<int>"
+        ),
+        "stretches",
     )
-    order = ["rank", "features"]
-    found = rows.filter("found").orderBy(*order).limit(sample // 2)
-    other = rows.filter("NOT found").orderBy(*order).limit(sample // 2)
+    order = ["rank", "features", "labels"]
+    found = rows.filter("found").orderBy(*order).limit(half)
+    other = rows.filter("NOT found").orderBy(*order).limit(half)
     return found.union(other).select("features", "labels")
 
 
