@@ -12,7 +12,7 @@ from visitrec.llm.chat import preference_pairs
 from visitrec.llm.kd_shards import shard_documents
 from visitrec.llm.ngram_join import deduplicated, near_duplicates
 from visitrec.llm.outliers import quality_rules
-from visitrec.llm.pii import base_spans, find_pii, fit_crf, luhn, redacted
+from visitrec.llm.pii import base_spans, find_pii, fit_crf, labelled_table, luhn, redacted
 from visitrec.llm.suffix_dedup import remove_repeats
 from visitrec.llm.toxicity import fit_severity, severity, without_toxic
 from visitrec.llm.warc import compressed, frames, read_archives, write_archives
@@ -229,6 +229,15 @@ def test_pii(spark, odd, empty):
     assert find_pii(empty, model).isEmpty() and find_pii(empty, fit_crf(empty)).isEmpty()
 
 
+def test_labelled_table_does_not_depend_on_partitions(spark):
+    texts = spark.read.parquet(f"{SF}/documents.parquet").select("text").distinct()
+    tables = [labelled_table(texts.repartition(n), 40) for n in (1, 7)]
+    first, second = (sorted((tuple(r.features), tuple(r.labels)) for r in t.collect()) for t in tables)
+    assert first == second and len(first) == 40
+    assert sum(any(labels) for _, labels in first) == 20
+    assert labelled_table(texts, 0).isEmpty()
+
+
 def test_shards(spark, odd, empty):
     got = shard_documents(odd, 4).collect()
     assert len(got) == len(ODD) and {r.law for r in got} == {"bytes"}
