@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from visitrec.llm.chat import preference_pairs
 from visitrec.llm.kd_shards import shard_documents
+from visitrec.llm.merkle import prove
 from visitrec.llm.ngram_join import near_duplicates
 from visitrec.llm.outliers import quality_rules
 from visitrec.llm.pii import KINDS, find_pii, fit_crf
@@ -23,6 +24,8 @@ from visitrec.storage import Scratch
 #: The vocabulary file that the query uses; operators take the path as an argument.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -109,6 +112,14 @@ def op10_winnowing(spark: SparkSession, sf: str) -> DataFrame:
     return hits.withColumn("items_sha256", listed).drop("items")
 
 
+def op11_merkle_butterfly(spark: SparkSession, sf: str) -> DataFrame:
+    """Proofs of all documents; a third of them were lower-cased since."""
+    documents = _table(spark, sf, "documents")
+    touched = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    lowered = F.translate("text", _UPPER, _UPPER.lower())
+    return prove(documents, altered={"text": F.when(touched, lowered).otherwise(F.col("text"))})
+
+
 QUERIES: dict[str, Query] = {
     "op1_preference_formatting": op1_preference_formatting,
     "op2_ordinal_toxicity": op2_ordinal_toxicity,
@@ -120,8 +131,25 @@ QUERIES: dict[str, Query] = {
     "op8_unigram_pieces": op8_unigram_pieces,
     "op9_robust_outliers": op9_robust_outliers,
     "op10_winnowing": op10_winnowing,
+    "op11_merkle_butterfly": op11_merkle_butterfly,
 }
 
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned CRC-32 of an ASCII text, bit by bit."""
+    byte = (
+        "list_reduce(range(8), lambda v, z: xor(v >> 1, (v & 1) * 3988292384), xor(crc, b))"
+    )
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ord(c) AS BIGINT))"
+    return f"xor(list_reduce({codes}, lambda crc, b: {byte}, 4294967295), 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    parts = [f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values]
+    return f"sha256({' || '.join(parts)})"
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_preference_formatting": """
 WITH replies AS (
@@ -155,5 +183,61 @@ SELECT conv_id, CAST(count(*) FILTER (WHERE shared) AS INTEGER) AS n_prompt_turn
     coalesce(string_agg((b_end - 1 - length(b)) || ':' || (b_end - 1), ',' ORDER BY turn)
         FILTER (WHERE NOT shared AND role = 'assistant'), '') AS rejected_spans
 FROM placed GROUP BY conv_id
+""",
+    "op11_merkle_butterfly": f"""
+WITH RECURSIVE leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+    FROM (
+        SELECT doc_id, lang, {_leaf('text')} AS leaf, CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 3 = 0
+            THEN {_leaf(f"translate(text, '{_UPPER}', '{_UPPER.lower()}')")} ELSE {_leaf('text')} END AS altered
+        FROM documents
+    )
+), nodes AS (
+    SELECT lang, 0 AS level, place, leaf AS digest, count(*) OVER (PARTITION BY lang) AS width FROM leaves
+    UNION ALL
+    SELECT lang, level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place)), (any_value(width) + 7) // 8
+    FROM nodes WHERE width > 1 GROUP BY lang, level, place // 8
+), subroots AS (
+    SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree
+    FROM nodes WHERE width = 1
+), tops AS (
+    SELECT 0 AS level, tree AS place, subroot AS digest, count(*) OVER () AS width FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place)), (any_value(width) + 7) // 8
+    FROM tops WHERE width > 1 GROUP BY level, place // 8
+), below AS (
+    SELECT a.lang, a.level, a.place,
+        coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (WHERE b.place < a.place), '') AS l,
+        coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (WHERE b.place > a.place), '') AS r
+    FROM nodes a JOIN nodes b
+        ON a.lang IS NOT DISTINCT FROM b.lang AND a.level = b.level AND a.place // 8 = b.place // 8
+    WHERE a.width > 1 GROUP BY a.lang, a.level, a.place
+), above AS (
+    SELECT a.level, a.place,
+        coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (WHERE b.place < a.place), '') AS l,
+        coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (WHERE b.place > a.place), '') AS r
+    FROM tops a JOIN tops b ON a.level = b.level AND a.place // 8 = b.place // 8
+    WHERE a.width > 1 GROUP BY a.level, a.place
+), steps AS (
+    SELECT v.lang, v.place, 0 AS part, s.level, s.l, s.r
+    FROM leaves v JOIN below s ON s.lang IS NOT DISTINCT FROM v.lang
+        AND s.place = CAST(floor(v.place / pow(8, s.level)) AS BIGINT)
+    UNION ALL
+    SELECT v.lang, v.place, 1, s.level, s.l, s.r
+    FROM leaves v JOIN subroots t ON t.lang IS NOT DISTINCT FROM v.lang
+    JOIN above s ON s.place = CAST(floor(t.tree / pow(8, s.level)) AS BIGINT)
+), paths AS (
+    SELECT lang, place, list({{'l': l, 'r': r}} ORDER BY part, level) AS path,
+        string_agg(l || r, '' ORDER BY part, level) AS siblings
+    FROM steps GROUP BY lang, place
+), proofs AS (
+    SELECT v.doc_id, v.leaf, t.subroot, (SELECT digest FROM tops WHERE width = 1) AS root,
+        sha256(coalesce(p.siblings, '')) AS proof_sha256,
+        list_reduce(coalesce(p.path, []), lambda d, x: {{'l': sha256(x.l || d.l || x.r), 'r': ''}},
+            {{'l': v.altered, 'r': ''}}).l AS folded_root
+    FROM leaves v JOIN subroots t ON t.lang IS NOT DISTINCT FROM v.lang
+    LEFT JOIN paths p ON p.lang IS NOT DISTINCT FROM v.lang AND p.place = v.place
+)
+SELECT *, folded_root = root AS verified FROM proofs
 """,
 }
