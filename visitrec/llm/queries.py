@@ -13,6 +13,7 @@ from visitrec.llm.merkle import prove
 from visitrec.llm.ngram_join import near_duplicates
 from visitrec.llm.outliers import quality_rules
 from visitrec.llm.pii import KINDS, find_pii, fit_crf
+from visitrec.llm.repair import Repair
 from visitrec.llm.suffix_dedup import remove_repeats
 from visitrec.llm.toxicity import fit_severity, severity
 from visitrec.llm.unigram import encode
@@ -120,6 +121,24 @@ def op11_merkle_butterfly(spark: SparkSession, sf: str) -> DataFrame:
     return prove(documents, altered={"text": F.when(touched, lowered).otherwise(F.col("text"))})
 
 
+def op13_repair_grammar(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations, damaged by a checksum of their place, and their repair."""
+    table = _table(spark, sf, "conversations")
+    space = F.lit(" ")
+    key = [F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")]
+    case = F.crc32(F.concat_ws(":", *key)) % 20
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    copies = F.when(case == 0, 0).when(case == 3, 2).otherwise(1)
+    damaged = table.select(
+        "conv_id",
+        "turn",
+        F.when(case == 4, "user").otherwise(role).alias("role"),
+        F.when(case == 1, "").when(case == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.array_repeat(F.lit(0), copies)).alias("copy"),
+    )
+    return Repair(damaged, every=table).summary()
+
+
 QUERIES: dict[str, Query] = {
     "op1_preference_formatting": op1_preference_formatting,
     "op2_ordinal_toxicity": op2_ordinal_toxicity,
@@ -132,6 +151,7 @@ QUERIES: dict[str, Query] = {
     "op9_robust_outliers": op9_robust_outliers,
     "op10_winnowing": op10_winnowing,
     "op11_merkle_butterfly": op11_merkle_butterfly,
+    "op13_repair_grammar": op13_repair_grammar,
 }
 
 
@@ -144,6 +164,38 @@ def _crc32(text: str) -> str:
     return f"xor(list_reduce({codes}, lambda crc, b: {byte}, 4294967295), 4294967295)"
 
 
+def _add(way: str, cost: str | int, edit: str, line: str = "''") -> str:
+    return f"{{'c': {way}.c + {cost}, 'a': {way}.a || '{edit}', 'l': {way}.l || {line}}}"
+
+
+def _repair_steps() -> tuple[str, str, str]:
+    """SQL of the ways (cost, audit, lines) to the states after insertions, after a row's edit, and to the end."""
+    user, assistant, kept = "chr(10) || 'user:'", "chr(10) || 'assistant:'", "chr(10) || role || ':' || text"
+    both = f"{user} || {assistant}"
+    inserted = f"""w0 AS i0, w1 AS i1,
+        list_min([w2, {_add('w0', 5, 'I', user)}, {_add('w1', 5, 'I', user)}, {_add('w3', 5, 'I', user)}]) AS i2,
+        list_min([w3, {_add('w2', 5, 'I', assistant)}, {_add('w0', 10, 'II', both)},
+            {_add('w1', 10, 'II', both)}]) AS i3"""
+
+    def stay(state: str, initial: str, role: str) -> str:
+        keep = f"CASE WHEN {initial} = left(role, 1) AND NOT gone THEN 0 ELSE 1000000000 END + extra"
+        ways = _add(state, keep, "K", kept)
+        if role:
+            change = "CASE WHEN gone THEN 1000000000 ELSE 1 END + extra"
+            ways += ", " + _add(state, change, "R", f"chr(10) || '{role}:' || text")
+        return ways
+
+    edited = f"""{_add('i0', 2, 'D')} AS w0,
+        list_min([{_add('i1', 2, 'D')}, {stay('i0', "'s'", '')}]) AS w1,
+        list_min([{_add('i2', 2, 'D')}, {', '.join(stay(i, "'u'", 'user') for i in ('i0', 'i1', 'i3'))}]) AS w2,
+        list_min([{_add('i3', 2, 'D')}, {stay('i2', "'a'", 'assistant')}]) AS w3"""
+    return inserted, edited, "list_min([i0, i3])"
+
+
+_INSERTED, _EDITED, _ENDED = _repair_steps()
+_NO_WAY = "{'c': CAST(1000000000 AS BIGINT), 'a': '', 'l': ''}"
+
+
 def _leaf(text: str) -> str:
     values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
     parts = [f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values]
@@ -239,5 +291,54 @@ WITH RECURSIVE leaves AS (
     LEFT JOIN paths p ON p.lang IS NOT DISTINCT FROM v.lang AND p.place = v.place
 )
 SELECT *, folded_root = root AS verified FROM proofs
+""",
+    "op13_repair_grammar": f"""
+WITH RECURSIVE cases AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS k
+    FROM conversations
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+        CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+    FROM cases, (SELECT unnest([1, 2]) AS copy) WHERE k <> 0 AND (copy = 1 OR k = 3)
+), ordered AS (
+    SELECT *, row_number() OVER w AS place, left(role, 1) AS initial,
+        lag(left(role, 1)) OVER w || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal,
+        rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+    FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) AS copy FROM ordered
+), judged AS (
+    SELECT *, body = '' AS blank, body <> '' AND copy > 1 AS duplicate,
+        body <> '' AND copy = 1 AND right(body, 1) NOT IN ('.', '!', '?') AS truncated
+    FROM numbered
+), edits AS (
+    SELECT *, blank OR duplicate AS gone, CASE WHEN truncated THEN 5 ELSE 0 END AS extra FROM judged
+), ways AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS place, {{'c': CAST(0 AS BIGINT), 'a': '', 'l': ''}} AS w0,
+        {_NO_WAY} AS w1, {_NO_WAY} AS w2, {_NO_WAY} AS w3
+    FROM (SELECT DISTINCT conv_id FROM conversations)
+    UNION ALL
+    SELECT conv_id, place, {_EDITED}
+    FROM (
+        SELECT w.conv_id, e.place, role, text, gone, extra, {_INSERTED}
+        FROM ways w JOIN edits e ON e.conv_id IS NOT DISTINCT FROM w.conv_id AND e.place = w.place + 1
+    )
+), ends AS (
+    SELECT conv_id, {_ENDED} AS way
+    FROM (
+        SELECT conv_id, {_INSERTED} FROM ways
+        QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY place DESC) = 1
+    )
+), counts AS (
+    SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+        count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+        count(*) FILTER (WHERE truncated) AS truncated, count(*) FILTER (WHERE illegal) AS illegal
+    FROM judged GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, e.way.c AS cost, e.way.a AS audit,
+    sha256(e.way.l[2:]) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
 """,
 }
