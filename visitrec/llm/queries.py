@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from visitrec.llm.chat import preference_pairs
 from visitrec.llm.kd_shards import shard_documents
 from visitrec.llm.merkle import prove
+from visitrec.llm.minhash import fingerprint_editions
+from visitrec.llm.minhash import near_duplicates as minhash_groups
 from visitrec.llm.ngram_join import near_duplicates
 from visitrec.llm.outliers import quality_rules
 from visitrec.llm.pii import KINDS, find_pii, fit_crf
@@ -121,6 +123,11 @@ def op11_merkle_butterfly(spark: SparkSession, sf: str) -> DataFrame:
     return prove(documents, altered={"text": F.when(touched, lowered).otherwise(F.col("text"))})
 
 
+def op12_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents")
+    return fingerprint_editions(documents, minhash_groups(documents))
+
+
 def op13_repair_grammar(spark: SparkSession, sf: str) -> DataFrame:
     """Conversations, damaged by a checksum of their place, and their repair."""
     table = _table(spark, sf, "conversations")
@@ -151,6 +158,7 @@ QUERIES: dict[str, Query] = {
     "op9_robust_outliers": op9_robust_outliers,
     "op10_winnowing": op10_winnowing,
     "op11_merkle_butterfly": op11_merkle_butterfly,
+    "op12_minhash": op12_minhash,
     "op13_repair_grammar": op13_repair_grammar,
 }
 
