@@ -2,43 +2,93 @@
 
 from __future__ import annotations
 
+import csv
+from collections import Counter
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.errors import PySparkValueError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitrec.functions import clean_cell, column, whole_number
 from visitrec.operators.columns import require_columns
+from visitrec.sources.split_text import CSV, SplitText
 
 # Registry columns declared integer; all others stay text.
 REGISTRY_INTEGERS = ("VISITMO", "VISITDAY", "VISITYR")
 
 
+_DIALECT = {
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "true",
+    "ignoreTrailingWhiteSpace": "true",
+}
+
+
 def read_csv(
-    spark: SparkSession, path: str | Sequence[str], multi_line: bool | None = None
+    spark: SparkSession,
+    path: str | Sequence[str],
+    multi_line: bool | None = None,
+    by_name: bool = False,
 ) -> DataFrame:
     """All columns as text, under the names in the header.
 
-    No schema is given, because Spark would apply it by position and not by name. With
-    ``enforceSchema`` off, a file whose header differs from the first one's stops the job.
+    Files are read by many tasks, also where cells hold line breaks (see ``split_text``), and read once: what
+    comes back stands in the shared folder. A caller who knows that no cell holds a line break may say so
+    (``multi_line=False``); then Spark's own reader takes lines for records and nothing is stored.
 
-    Line breaks inside quotes make a file one task; without them Spark splits it. Unless the caller
-    knows (``multi_line``), a first parallel pass over the lines finds out.
+    Each file has a header. A file whose header differs from the others' stops the job, unless ``by_name`` is
+    set: then columns go by their names in each file, whatever their order, and those that a file lacks are null.
+    Lines end in a line feed, with or without a carriage return; blank lines are left out.
     """
     paths = path if isinstance(path, str) else list(path)
-    if multi_line is None:
-        multi_line = breaks_in_quotes(spark, paths)
-    raw = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("inferSchema", False)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .csv(paths)
-    )
-    return raw.select(*[clean_cell(c).alias(c) for c in raw.columns])
+    if multi_line is False and not by_name:
+        # no schema is given, because Spark would apply it by position and not by name
+        raw = (
+            spark.read.option("header", True)
+            .option("enforceSchema", False)
+            .option("inferSchema", False)
+            .options(**_DIALECT)
+            .csv(paths)
+        )
+        return raw.select(*[clean_cell(c).alias(c) for c in raw.columns])
+    text = SplitText(spark, paths, CSV)
+    # a row for each different header
+    headers = [
+        (bytes(row["record"]).decode(errors="replace"), row["files"])
+        for row in text.first_records().groupBy("record").agg(F.collect_list("file").alias("files")).collect()
+    ]
+    names = [_header_names(header) for header, _ in headers]
+    if not headers:
+        return spark.createDataFrame([], T.StructType([]))
+    if not by_name and len({tuple(n) for n in names}) > 1:
+        raise PySparkValueError(f"files have different headers: {sorted(names)[:2]}")
+    records = text.records(skip_first=True).withColumn("record", F.rtrim("record", F.lit("\r")))
+    if len({tuple(n) for n in names}) == 1:
+        return _cells(records, names[0])
+    parts = [
+        _cells(records.filter(F.col("file").isin(files)), own) for (_, files), own in zip(headers, names)
+    ]
+    return reduce(lambda one, two: one.unionByName(two, allowMissingColumns=True), parts)
+
+
+def _header_names(header: str) -> list[str]:
+    """Names in a header; a name that occurs twice gets its place, one that is empty is ``_c`` and its place."""
+    cells = [cell.strip(" \t\r\n") for cell in next(csv.reader([header], skipinitialspace=True, strict=False))]
+    times = Counter(cell.lower() for cell in cells)
+    return [
+        f"_c{i}" if not cell else f"{cell}{i}" if times[cell.lower()] > 1 else cell for i, cell in enumerate(cells)
+    ]
+
+
+def _cells(records: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Records cut into cells, by place."""
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    row = F.from_csv("record", schema.simpleString()[len("struct<") : -1].replace(":", " "), _DIALECT)
+    cut = records.select(row.alias("row")).select("row.*")
+    return cut.select(*[clean_cell(f"c{i}").alias(name) for i, name in enumerate(names)])
 
 
 def breaks_in_quotes(spark: SparkSession, path: str | Sequence[str]) -> bool:
@@ -50,8 +100,8 @@ def breaks_in_quotes(spark: SparkSession, path: str | Sequence[str]) -> bool:
 def read_registry(
     spark: SparkSession, path: str | Sequence[str], multi_line: bool | None = None
 ) -> DataFrame:
-    """Registry visits: text by default, the three date parts as integers."""
-    return declare_integers(read_csv(spark, path, multi_line))
+    """Registry visits: text by default, the three date parts as integers. Columns go by name in each file."""
+    return declare_integers(read_csv(spark, path, multi_line, by_name=multi_line is not False))
 
 
 def declare_integers(

@@ -269,6 +269,25 @@ def _visit_json(spark: SparkSession, sf: str) -> DataFrame:
     return read_records(spark, path, VISIT_FIELDS, one_array_per_file=False)
 
 
+def _visit_array(spark: SparkSession, sf: str) -> DataFrame:
+    """Objects side by side in long lines, as in an array; a split of a file may begin anywhere in one."""
+    path = _shared_path(spark, "visit-array")
+    visits = t.local_visits(spark, sf)
+    visits.select(F.to_json(F.struct("*"))).write.option("lineSep", ",").text(path)
+    return read_records(spark, path, VISIT_FIELDS)
+
+
+def _registry_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Two downloads with their columns in different orders."""
+    visits = t.registry_visits(spark, sf)
+    older = F.coalesce(F.col("FORMVER").startswith("3"), F.lit(False))
+    paths = [
+        write_csv(visits.filter(older), _shared_path(spark, "older")),
+        write_csv(visits.filter(~older).select(*reversed(visits.columns)), _shared_path(spark, "newer")),
+    ]
+    return read_registry(spark, paths)
+
+
 def _document_csv(spark: SparkSession, sf: str) -> DataFrame:
     documents = t.load(spark, sf, "documents").select("doc_id", "lang", "text")
     return read_push_list(spark, write_csv(documents, _shared_path(spark, "documents")))
@@ -329,6 +348,8 @@ QUERIES: dict[str, Query] = {
     "push_list_csv": _push_list_csv,
     "visit_json": _visit_json,
     "document_csv": _document_csv,
+    "visit_array": _visit_array,
+    "registry_by_name": _registry_by_name,
     "registry_only_csv": _registry_only_csv,
     "text_records_file": _text_records_file,
 }

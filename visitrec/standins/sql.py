@@ -291,3 +291,6 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang,
   CASE WHEN trim(text, E' \t') NOT IN ('', 'NA') THEN trim(text, E' \t') END AS text
 FROM documents""",
 }
+
+ORACLE_SQL["visit_array"] = ORACLE_SQL["visit_json"]
+ORACLE_SQL["registry_by_name"] = ORACLE_SQL["registry_csv"]
