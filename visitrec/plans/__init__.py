@@ -8,6 +8,8 @@ from visitrec.plans.packets import (
     ready_records,
     route,
     route_all,
+    verdict_mask,
+    verdicts,
 )
 from visitrec.plans.rules import FVP, IVP, PACKETS, TVP, TVP_C2, VISIT_KEYS, PacketRule
 
@@ -30,4 +32,6 @@ __all__ = [
     "run_day",
     "run_packet",
     "run_reconcile",
+    "verdict_mask",
+    "verdicts",
 ]

@@ -23,11 +23,16 @@ from visitrec.operators import (
 )
 from visitrec.plans.clean import clean_local, clean_registry
 from visitrec.plans.packets import (
+    BLOCKED,
+    READY,
     blocked_records,
     pull_records,
     ready_records,
     route,
     route_all,
+    shape_blocked,
+    shape_ready,
+    verdicts,
 )
 from visitrec.plans.rules import (
     IDENTIFIERS,
@@ -38,7 +43,7 @@ from visitrec.plans.rules import (
     VISIT_KEYS,
     PacketRule,
 )
-from visitrec.sinks import push_folder, write_csv, write_csv_if_any, write_text_records
+from visitrec.sinks import Batch, write_csv, write_text_records
 from visitrec.sources import (
     freshness,
     landing_files,
@@ -75,10 +80,14 @@ def run_reconcile(
     run_date: dt.date | str | None = None,
     multi_line: bool | None = None,
 ) -> ReconcileOutput:
-    """Compare the newest registry file with the local visits; write what each side lacks."""
+    """Compare the newest registry file with the local visits; write what each side lacks.
+
+    The folder of the run date is replaced as a whole, or left as it was if the run fails.
+    """
     scratch = Scratch(spark, "reconcile")
     try:
-        return _reconcile(spark, landing, local_visits, out_root, run_date, multi_line, scratch)[0]
+        with Batch(spark, out_root, run_date_text(run_date)) as batch:
+            return _reconcile(spark, landing, local_visits, batch, multi_line, scratch)[0]
     finally:
         scratch.drop()
 
@@ -87,15 +96,12 @@ def _reconcile(
     spark: SparkSession,
     landing: str,
     local_visits: DataFrame,
-    out_root: str,
-    run_date: dt.date | str | None,
+    batch: Batch,
     multi_line: bool | None,
     scratch: Scratch,
 ) -> tuple[ReconcileOutput, DataFrame]:
     """The outputs, and the push list as a table of the scratch folder."""
-    day = run_date_text(run_date)
-    folder = push_folder(out_root, day)
-
+    day = batch.day
     latest = freshness(newest_file(landing_files(spark, landing)), day).first()
     if latest is None:
         raise FileNotFoundError(f"no registry file in {landing}")
@@ -110,12 +116,8 @@ def _reconcile(
     )
     local = scratch.keep(clean_local(local_visits), "local")
 
-    registry_only = scratch.keep(
-        only_in(registry, local, VISIT_KEYS).select(*VISIT_KEYS), "registry_only"
-    )
-    unresolved = write_csv_if_any(
-        registry_only, f"{folder}/{REGISTRY_ONLY_STEM}{day}.csv"
-    )
+    registry_only = only_in(registry, local, VISIT_KEYS).select(*VISIT_KEYS)
+    unresolved = batch.csv_if_any(registry_only, f"{REGISTRY_ONLY_STEM}{day}.csv")
     if unresolved:
         warnings.warn(
             f"the registry has visits the local side lacks; resolve them first: {unresolved}",
@@ -125,7 +127,7 @@ def _reconcile(
     pushed = scratch.keep(
         keys_first(only_in(local, registry, VISIT_KEYS), VISIT_KEYS), "push_list"
     )
-    push_list = write_csv(pushed, f"{folder}/{PUSH_LIST_STEM}{day}.csv")
+    push_list = batch.csv(pushed, f"{PUSH_LIST_STEM}{day}.csv")
     return ReconcileOutput(push_list, unresolved, bool(latest["is_stale"])), pushed
 
 
@@ -136,25 +138,19 @@ def run_packet(
     dictionary: Mapping[str, Sequence[str]],
     folder: str,
     run_date: dt.date | str,
-    stripped: bool = False,
-    pulled: bool = False,
     export: Export | None = None,
 ) -> PacketOutput:
     """Write the ready and the blocked records of one packet, and the export if one is described.
 
-    ``stripped`` says that neither the records nor the dictionary have the identifiers any more, and
-    ``pulled`` that the records are those of the routed participants alone.
-
     Only the blocked report needs the pull by participant: the ready join is on participant and
-    visit number, so it already keeps listed participants alone, and wide rows move once.
+    visit number, so it already keeps listed participants alone, and wide rows move once. All packets of a
+    day take ``run_day``, which reads the records once for all of them.
     """
     day = run_date_text(run_date)
     routed = route(push_list, rule)
     wide = form_columns(records, rule.pulled, dictionary, RECORD_COLUMNS)
-    ready = ready_records(wide, routed, rule, stripped)
-    blocked = blocked_records(
-        wide if pulled else pull_records(records, routed, rule, dictionary), rule
-    )
+    ready = ready_records(wide, routed, rule)
+    blocked = blocked_records(pull_records(records, routed, rule, dictionary), rule)
     scratch = Scratch(records.sparkSession, "packet")
     try:
         if export:
@@ -182,12 +178,11 @@ def run_day(
 ) -> tuple[ReconcileOutput, dict[str, PacketOutput]]:
     """Reconcile, then all packets from the push list; packets named in ``exports`` are exported too.
 
-    The wide records are read once: what any packet can need, of participants routed
-    anywhere, is stored without identifiers, with a mark for each packet that the participant is
-    routed to. The ready and blocked steps of every packet scan that; the blocked one joins nothing.
+    The wide records are read once. In that pass they meet the routed participants, all gates of all packets are
+    decided as one bit mask, and what has a verdict is stored, without identifiers, in a folder for each packet
+    and verdict; a packet's output reads its own folder alone. All outputs of the date are published together.
     """
     day = run_date_text(run_date)
-    folder = push_folder(out_root, day)
     forms = list(dict.fromkeys(form for rule in rules for form in rule.pulled))
     needed = drop_required(
         form_columns(records, forms, dictionary, RECORD_COLUMNS), IDENTIFIERS
@@ -196,43 +191,72 @@ def run_day(
     marks = {rule.name: f"_routed_{rule.name}" for rule in rules}
     scratch = Scratch(spark, "day")
     try:
-        reconciled, pushed = _reconcile(
-            spark, landing, local_visits, out_root, day, multi_line, scratch
-        )
-        # every cell as the written list would give it back
-        push_list = pushed.select(
-            *[clean_cell(column(c).cast("string")).alias(c) for c in pushed.columns]
-        )
-        routed = (
-            route_all(push_list, rules)
-            .filter("ptid IS NOT NULL")
-            .groupBy(F.col("ptid").alias("_routed_ptid"))
-            .agg(*[F.bool_or(F.col("packet") == name).alias(mark) for name, mark in marks.items()])
-        )
-        # null-safe for the shuffle's sake: see operators.membership
-        pulled = scratch.keep(
-            needed.join(routed, F.col("ptid").eqNullSafe(F.col("_routed_ptid"))).drop("_routed_ptid"),
-            "records",
-        )
-        packets = {
-            rule.name: run_packet(
-                pulled.filter(marks[rule.name]),
-                push_list,
-                rule,
-                bare,
-                folder,
-                day,
-                stripped=True,
-                pulled=True,
-                export=(exports or {}).get(rule.name),
+        with Batch(spark, out_root, day) as batch:
+            reconciled, pushed = _reconcile(spark, landing, local_visits, batch, multi_line, scratch)
+            # every cell as the written list would give it back
+            push_list = pushed.select(
+                *[clean_cell(column(c).cast("string")).alias(c) for c in pushed.columns]
+            )
+            routed = (
+                route_all(push_list, rules)
+                .filter("ptid IS NOT NULL")
+                .groupBy(F.col("ptid").alias("_routed_ptid"))
+                .agg(*[F.bool_or(F.col("packet") == name).alias(mark) for name, mark in marks.items()])
             )
-            for rule in rules
-        }
+            # null-safe for the shuffle's sake: see operators.membership
+            met = needed.join(routed, F.col("ptid").eqNullSafe(F.col("_routed_ptid"))).drop("_routed_ptid")
+            judged = verdicts(met, rules, {name: F.col(mark) for name, mark in marks.items()})
+            judged = scratch.keep_parted(judged.drop(*marks.values()), "judged", ["packet", "verdict"])
+            packets = {
+                rule.name: _write_packet(
+                    judged.filter(F.col("packet") == rule.name),
+                    push_list,
+                    rule,
+                    bare,
+                    batch,
+                    scratch,
+                    (exports or {}).get(rule.name),
+                )
+                for rule in rules
+            }
     finally:
         scratch.drop()
     return reconciled, packets
 
 
+def _write_packet(
+    judged: DataFrame,
+    push_list: DataFrame,
+    rule: PacketRule,
+    dictionary: Mapping[str, Sequence[str]],
+    batch: Batch,
+    scratch: Scratch,
+    export: Export | None,
+) -> PacketOutput:
+    """The outputs of one packet from the records that have a verdict for it."""
+    passed = judged.filter(F.col("verdict") == READY)
+    wide = form_columns(passed, rule.pulled, dictionary, RECORD_COLUMNS)
+    ready = shape_ready(wide, route(push_list, rule), rule)
+    if export:
+        ready = scratch.keep(ready, f"ready-{rule.name}")
+    stem = f"{rule.output_stem}{batch.day}"
+    exported = None
+    if export:
+        renamed = rename_headers(ready, export[0])
+        exported = (
+            batch.csv(renamed, f"{stem}_FILTERED.csv"),
+            batch.text(renamed, export[1], f"{stem}.txt"),
+        )
+    return PacketOutput(
+        ready=batch.csv(ready, f"{stem}.csv"),
+        blocked=batch.csv(
+            shape_blocked(judged.filter(F.col("verdict") == BLOCKED), rule),
+            f"{rule.blocked_stem}{batch.day}.csv",
+        ),
+        exported=exported,
+    )
+
+
 def export_text(
     ready: DataFrame,
     header_mapping: Mapping[str, str],

@@ -30,7 +30,3 @@ def write_csv(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 
-
-def write_csv_if_any(df: DataFrame, path: str) -> str | None:
-    """Write only if there are rows. Pass a stored frame: the test and the write both read it."""
-    return None if df.isEmpty() else write_csv(df, path)

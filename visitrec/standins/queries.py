@@ -42,6 +42,7 @@ from visitrec.plans import (
     ready_records,
     route,
     route_all,
+    verdicts,
 )
 from visitrec.plans.rules import RECORD_COLUMNS, REGISTRY_ONLY_STEM, VISIT_FIELDS
 from visitrec.sinks import push_folder, text_records, write_csv, write_csv_if_any, write_text_records
@@ -129,6 +130,12 @@ def _blocked(rule: PacketRule) -> Query:
     return query
 
 
+def _packet_verdicts(spark: SparkSession, sf: str) -> DataFrame:
+    """What the gates of all packets say of every record, in one pass."""
+    records = blanks_to_null(t.all_records(spark, sf))
+    return verdicts(records).select("sample_code", "ptid", "visitnum", "packet", "verdict")
+
+
 def _form_projection(spark: SparkSession, sf: str) -> DataFrame:
     records, dictionary = _wide(spark, sf, FVP)
     return form_columns(records, ["header", "fvp_d2"], dictionary, ["ptid", "visitnum"])
@@ -328,6 +335,7 @@ QUERIES: dict[str, Query] = {
     "blocked_fvp": _blocked(FVP),
     "blocked_tvp": _blocked(TVP),
     "blocked_tvpc2": _blocked(TVP_C2),
+    "packet_verdicts": _packet_verdicts,
     "form_projection": _form_projection,
     "requested_orders": _requested_orders,
     "key_batches": _key_batches,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from visitrec.standins.tables import LOCAL, REGISTRY, WIDE, derived_sql
+from visitrec.standins.tables import ALL_WIDE, LOCAL, REGISTRY, WIDE, derived_sql
 
 
 def _with(*parts: str) -> str:
@@ -145,6 +145,27 @@ def _blocked(name: str) -> str:
     )
 
 
+def _verdicts() -> str:
+    nulled = ", ".join(f"nullif({c}, '') AS {c}" for c in ALL_WIDE)
+    parts = []
+    for name in _EVENT:
+        tests = {
+            "ready": [f"{form}_complete = '2'" for form in _VERIFIED[name].split()],
+            "blocked": [f"{form}_complete <> '2'" for form in _VERIFIED[name].split()],
+        }
+        if name == "tvp":
+            tests["ready"].append("tvp_c2t_complete <> '2'")
+            tests["blocked"].append("tvp_c2t_complete = '2'")
+        tests["ready"].append(r"regexp_matches(redcap_event_name, 'visit_\d{1,2}_arm_1')")
+        for verdict, word in (("ready", " AND "), ("blocked", " OR ")):
+            parts.append(
+                f"SELECT sample_code, ptid, visitnum, '{name}' AS packet, '{verdict}' AS verdict FROM wide\n"
+                f"WHERE {_EVENT[name]} AND ({word.join(tests[verdict])})"
+            )
+    head = _with(derived_sql("wide_raw", ALL_WIDE, "orders"), f"wide AS (SELECT {nulled} FROM wide_raw)")
+    return head + "\nUNION ALL\n".join(parts)
+
+
 _COUNT_ROWS = [
     ("left", "left_only", "local_visits", f"NOT {_exists('registry')}"),
     ("left", "both", "local_visits", _exists("registry")),
@@ -292,5 +313,6 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang,
 FROM documents""",
 }
 
+ORACLE_SQL["packet_verdicts"] = _verdicts()
 ORACLE_SQL["visit_array"] = ORACLE_SQL["visit_json"]
 ORACLE_SQL["registry_by_name"] = ORACLE_SQL["registry_csv"]

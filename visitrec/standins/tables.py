@@ -147,6 +147,9 @@ WIDE = {
     "tvp": _wide("tvp", {"tele_artype": _BOXES}),
 }
 
+# All packets' forms in one record, as the data is kept.
+ALL_WIDE = {**WIDE["tvp"], **WIDE["fvp"], **WIDE["ivp"]}
+
 
 def _form_dictionary(columns: dict[str, str], packet: str) -> dict[str, list[str]]:
     """Which form each field of a stand-in pull belongs to."""
@@ -196,6 +199,10 @@ def wide_records(spark: SparkSession, sf_dir: str, packet: str) -> DataFrame:
     return _derive(spark, sf_dir, "orders", WIDE[packet])
 
 
+def all_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(spark, sf_dir, "orders", ALL_WIDE)
+
+
 def derived_sql(name: str, columns: dict[str, str], source: str = "lineitem") -> str:
     """The same table as a named subquery for the checking SQL."""
     body = ",\n    ".join(f"{sql} AS {column}" for column, sql in columns.items())
