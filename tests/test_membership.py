@@ -14,6 +14,7 @@ from visitrec.operators import (
     in_both,
     in_order,
     join_listed,
+    id_list,
     key_batches,
     newest,
     no_keys,
@@ -122,6 +123,15 @@ def test_newest_and_order(spark):
     assert [row.t for row in in_order(df, ["t", "p"]).collect()] == [1, 2, 2, None]
 
 
+def test_id_list(spark):
+    ids = [f"UM{i * 7919 % 5000:08}" for i in range(5000)] * 2 + [None]
+    df = spark.createDataFrame([(x,) for x in ids], "`p.id` string").repartition(7)
+    (row,) = id_list(df, "p.id", sep=";").collect()
+    expected = sorted(set(ids) - {None})
+    assert (row.n_ids, row.id_list) == (5000, ";".join(expected))
+    assert tuple(id_list(df.limit(0), "p.id").first()) == (0, "")
+
+
 def test_key_batches(spark):
     rows = [("UM00000001",), ("UM00000003",), ("UM00000001",), ("UM00001001",), (None,)]
     out = key_batches(spark.createDataFrame(rows, "ptid string"), "ptid").collect()

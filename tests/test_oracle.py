@@ -67,7 +67,7 @@ def test_newest_is_a_top_one(spark, name):
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"matched_local", "matched_registry"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"matched_local", "matched_registry", "id_list"}))
 def test_no_sort_of_all_rows_and_no_python(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_DIR))
     for banned in ("rangepartitioning", "SinglePartition", "Cartesian", "NestedLoop", "EvalPython", "Window"):

@@ -22,7 +22,7 @@ from visitrec.operators.membership import (
     requested_only,
     status_counts,
 )
-from visitrec.operators.ranking import in_order, key_batches, newest
+from visitrec.operators.ranking import id_list, in_order, key_batches, newest
 
 __all__ = [
     "all_of",
@@ -34,6 +34,7 @@ __all__ = [
     "discrepancy",
     "drop_required",
     "form_columns",
+    "id_list",
     "in_both",
     "in_order",
     "integers_by_suffix",

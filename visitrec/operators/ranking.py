@@ -26,6 +26,25 @@ def in_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def id_list(df: DataFrame, key: str, sep: str = ",") -> DataFrame:
+    """All different ids in one text, ascending: one row ``(n_ids, id_list)``.
+
+    Ids are dealt by ranges, each range is sorted and joined by its own task, and the ranges' texts are joined by the
+    number of their range. So no buffer holds single ids of more than one range; the text itself is one value and
+    must fit into one (2 GB). Where it may not, use ``key_batches``. Without ids the text is empty.
+    """
+    ids = df.select(column(key).cast("string").alias("id")).filter("id IS NOT NULL").distinct()
+    ranges = ids.repartitionByRange("id").select("id", F.spark_partition_id().alias("range"))
+    joined = ranges.groupBy("range").agg(
+        F.array_join(F.sort_array(F.collect_list("id")), sep).alias("ids"), F.count(F.lit(1)).alias("n_ids")
+    )
+    parts = F.array_sort(F.collect_list(F.struct("range", "ids")))
+    return joined.agg(
+        F.coalesce(F.sum("n_ids"), F.lit(0)).alias("n_ids"),
+        F.array_join(F.transform(parts, lambda part: part["ids"]), sep).alias("id_list"),
+    )
+
+
 def key_batches(df: DataFrame, key: str, sep: str = ",", size: int = 1000) -> DataFrame:
     """The ids as ready-made request lists of ``size`` ids at most: rows ``(batch, n_ids, id_list)``.
 

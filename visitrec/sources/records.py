@@ -55,6 +55,7 @@ def read_records(
     stored = scratch.keep(raw.observe(held, F.count(F.lit(1)).alias("records"), *counts), "records")
     if one_array_per_file:
         scratch.drop("chunks")
+        scratch.drop("crossing")
     found = held.get
     lacking = [name for i, name in enumerate(fields) if not found[f"f{i}"]] if found["records"] else []
     if lacking:

@@ -223,6 +223,7 @@ class SplitText:
             case = int(state[0])
             state = (row[f"after_in_{case}"], state[1] + row[f"after_depth_{case}"])
         self.states = spark.sparkContext.broadcast(states)
+        self.crossing: DataFrame | None = None
 
     def _resolved(self, cut: Callable[[dict, bytes, State], Iterator[list]], names: list[str], kinds: list[pa.DataType]):
         states = self.states
@@ -273,6 +274,12 @@ class SplitText:
         complete = self.stored.mapInArrow(
             self._resolved(whole, ["file", "record"], [pa.string(), pa.binary()]), "file string, record binary"
         )
+        return complete.union(self._crossing(parts)).select("file", F.col("record").cast("string").alias("record"))
+
+    def _crossing(self, parts: Callable[[dict, bytes, State], Iterator[list]]) -> DataFrame:
+        """Records over several chunks, put together and stored; there are fewer of them than chunks."""
+        if self.crossing is not None:
+            return self.crossing
         names = ["file", "start", "chunk", "begins", "part"]
         kinds = [pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
         crossing = self.stored.mapInArrow(
@@ -286,4 +293,5 @@ class SplitText:
             F.transform(ordered, lambda x: x["part"]), F.lit(b""), lambda text, part: F.concat(text, part)
         )
         rejoined = numbered.groupBy("file", "record_number").agg(joined.alias("record")).select("file", "record")
-        return complete.union(rejoined).select("file", F.col("record").cast("string").alias("record"))
+        self.crossing = self.scratch.keep(rejoined, "crossing")
+        return self.crossing

@@ -16,6 +16,7 @@ from visitrec.operators import (
     discrepancy,
     drop_required,
     form_columns,
+    id_list,
     in_both,
     in_order,
     integers_by_suffix,
@@ -153,6 +154,12 @@ def _key_batches(spark: SparkSession, sf: str) -> DataFrame:
     return key_batches(orders, "ptid", size=100)
 
 
+def _id_list(spark: SparkSession, sf: str) -> DataFrame:
+    owner = F.lpad(F.col("o_custkey").cast("string"), 8, "0")
+    orders = t.load(spark, sf, "orders").select(F.concat(F.lit("UM"), owner).alias("ptid"))
+    return id_list(orders, "ptid")
+
+
 def _date_from_parts(spark: SparkSession, sf: str) -> DataFrame:
     built = date_from_parts(
         F.month("l_shipdate"), F.col("l_quantity").cast("int"), F.year("l_shipdate")
@@ -339,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "form_projection": _form_projection,
     "requested_orders": _requested_orders,
     "key_batches": _key_batches,
+    "id_list": _id_list,
     "date_from_parts": _date_from_parts,
     "iso_date_not_null": _iso_dates,
     "version_regex": _version_pattern,

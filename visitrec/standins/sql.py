@@ -313,6 +313,9 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang,
 FROM documents""",
 }
 
+ORACLE_SQL["id_list"] = """
+SELECT count(*) AS n_ids, coalesce(string_agg(ptid, ',' ORDER BY ptid), '') AS id_list
+FROM (SELECT DISTINCT 'UM' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS ptid FROM orders)"""
 ORACLE_SQL["packet_verdicts"] = _verdicts()
 ORACLE_SQL["visit_array"] = ORACLE_SQL["visit_json"]
 ORACLE_SQL["registry_by_name"] = ORACLE_SQL["registry_csv"]
