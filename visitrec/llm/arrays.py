@@ -6,6 +6,8 @@ A block holds the bytes of some rows, each followed by one space, so a task's me
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,6 +22,13 @@ _BASE = 0x9E3779B97F4A7C15 | 5  # odd, and 5 modulo 8: its powers modulo 2**64 r
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+def give_back() -> None:
+    """Return freed memory to the machine: Spark's Python workers live on from stage to stage, and so would it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # of the GNU C library alone
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread every bit of 64-bit values over all bits; one to one."""
     out = values ^ (values >> np.uint64(30))

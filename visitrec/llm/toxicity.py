@@ -248,6 +248,7 @@ def without_toxic(documents: DataFrame, model: OrdinalModel, cut: float = CUT) -
             shared.value.chances(_scores(block, shared.value)).sum(axis=1) < cut
             for block in A.blocks(pa.array(texts, pa.string(), from_pandas=True))
         ]
+        A.give_back()
         return type(texts)(np.concatenate(flags) if flags else np.zeros(0, dtype=bool))
 
     return documents.filter(clean(F.col("text")))

@@ -26,7 +26,9 @@ from visitrec.llm import arrays as A
 MARKER = "▁"
 #: Below the least score of a piece: an unknown character.
 UNKNOWN_PENALTY = 10.0
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
+#: Bytes of words that are cut together.
+TOGETHER = 1 << 18
 #: Longer words are cut one by one.
 LONG_WORD = 256
 
@@ -304,7 +306,7 @@ def encode_block(model: UnigramModel, block: A.Block) -> tuple[np.ndarray, np.nd
         begins[apart] = begins[apart + 1] = True
     starts = np.flatnonzero(begins[:-1])
     lengths = np.diff(np.append(starts, len(data)))
-    hashes = A.Rolling(data, A.BYTE_CODES).of(starts, starts + lengths)
+    hashes = A.span_hashes(data, starts, starts + lengths)
     _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
 
     ids: list[np.ndarray] = []
@@ -322,7 +324,7 @@ def encode_block(model: UnigramModel, block: A.Block) -> tuple[np.ndarray, np.nd
             at += 1
             continue
         width = min(LONG_WORD, size + size // 8)
-        end = min(int(np.searchsorted(sorted_lengths, width, side="right")), at + 40_000)
+        end = min(int(np.searchsorted(sorted_lengths, width, side="right")), at + 1 + TOGETHER // width)
         chosen = order[at:end]
         own_lengths = sorted_lengths[at:end]
         width = int(own_lengths[-1])
@@ -374,6 +376,7 @@ def encode(documents: DataFrame, model_path: str, column: str = "text") -> DataF
                     ],
                     names=["doc_id", "ids", "round_trip"],
                 )
+            A.give_back()
 
     schema = T.StructType(
         [documents.schema["doc_id"], *T.StructType.fromDDL("ids array<int>, round_trip boolean").fields]
