@@ -3,6 +3,9 @@
 1. Every text becomes its set of distinct n-grams (hashes of n words). Documents with equal sets form a class.
 2. The n-grams get a global order, rare ones first; frequencies are those of ``2 ** SLOT_BITS`` hash slots.
    Of a set only a prefix in this order is dealt out: two sets that are similar enough share an n-gram there.
+   N-grams that more than ``CROWD`` sets then turn out to share go to the end of the order, and the sets are dealt
+   again, ``DEALS`` times at most; which n-grams they are is kept in a bitmap of fixed size. Any order is right, this
+   one keeps passages that many texts hold from making large buckets of texts that have little else in common.
    In each bucket of the prefix join, the set with the earliest position is compared with the others.
 3. The order is cut into fragments. For the pairs that are left, the overlap in each fragment is counted on
    its own and summed for each pair. Pairs over the threshold are links.
@@ -20,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +37,8 @@ NGRAM, THRESHOLD, FRAGMENTS = 5, (80, 100), 4
 SLOT_BITS = 18
 #: Least bits of a set's parity map: bit i tells whether an odd number of its n-grams fall on i.
 PARITY_BITS = 256
+#: An n-gram in the prefixes of more sets goes to the end of the order; how often sets are dealt at most.
+CROWD, DEALS = 16, 3
 #: A slot's count is reported by a task if it is so many times the task's mean.
 NOTABLE = 4
 
@@ -62,7 +68,7 @@ class Similarity:
 def _sets(block: A.Block, n: int) -> list[np.ndarray]:
     """The sorted distinct n-gram hashes of each text; the whole sequence where it has fewer words."""
     words = A.words_of(block)
-    hashes = A.Rolling(block.data, A.FOLDED_CODES).of(words.starts, words.ends)
+    hashes = A.span_hashes(A.folded(block.data), words.starts, words.ends)
     runs = A.run_hashes(hashes, n)
     out = []
     for a, b in zip(words.first.tolist(), words.first[1:].tolist()):
@@ -132,7 +138,7 @@ def _summaries(n: int):
     return scan
 
 
-def _prefixes(n: int, similar: Similarity, weights):
+def _prefixes(n: int, similar: Similarity, weights, crowded=None):
     """The prefix n-grams of each set, with their position; once for each set in a task."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +150,10 @@ def _prefixes(n: int, similar: Similarity, weights):
                     if not len(grams) or (signature := _signature(grams)) in seen:
                         continue
                     seen.add(signature)
-                    order = np.argsort(table[_slot(grams)], kind="stable")
+                    rank = table[_slot(grams)]
+                    if crowded is not None:
+                        rank = rank + (may_hold(crowded.value, grams).astype(np.int64) << 48)
+                    order = np.argsort(rank, kind="stable")
                     first = grams[order[: int(similar.prefix(len(grams)))]]
                     tokens.append(first)
                     places.append(np.arange(len(first), dtype=np.int32))
@@ -160,6 +169,7 @@ def _prefixes(n: int, similar: Similarity, weights):
                         ],
                         names=["gram", "doc_id", "at", "n"],
                     )
+            A.give_back()
 
     return scan
 
@@ -192,6 +202,7 @@ def _fragments(n: int, fragments: int, wanted):
                         ],
                         names=["doc_id", "fragment", "grams"],
                     )
+            A.give_back()
 
     return scan
 
@@ -240,17 +251,7 @@ class _Join:
         weights = np.zeros(1 << SLOT_BITS, dtype=np.int64)
         sums = scanned.filter("slot >= 0").groupBy("slot").agg(F.sum("weight").alias("weight")).toPandas()
         weights[sums["slot"].to_numpy(dtype=np.int64)] = sums["weight"].to_numpy(dtype=np.int64)
-        order = self.spark.sparkContext.broadcast(weights)
-        dealt = self.scratch.keep(
-            self.rows.filter("doc_id IS NOT NULL").mapInArrow(
-                _prefixes(self.ngram, self.similar, order),
-                T.StructType.fromDDL(f"gram long, doc_id {self.id.dataType.simpleString()}, at int, n int"),
-            ),
-            "prefixes",
-        )
-        shared = self.scratch.keep(
-            dealt.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "shared"
-        )
+        dealt, shared = self._dealt(self.spark.sparkContext.broadcast(weights))
         met = self.scratch.keep(dealt.join(shared, "gram"), "met")
         self.scratch.drop("prefixes")
         firsts = self.scratch.keep(
@@ -280,6 +281,26 @@ class _Join:
         self.scratch.drop("met")
         return labels
 
+    def _dealt(self, order: Broadcast) -> tuple[DataFrame, DataFrame]:
+        """Prefixes, and the n-grams that several of them hold; crowded ones go to the end of the order."""
+        schema = T.StructType.fromDDL(f"gram long, doc_id {self.id.dataType.simpleString()}, at int, n int")
+        rows, crowded = self.rows.filter("doc_id IS NOT NULL"), None
+        for deal in range(1, DEALS + 1):
+            prefixes = _prefixes(self.ngram, self.similar, order, crowded)
+            dealt = self.scratch.keep(rows.mapInArrow(prefixes, schema), "prefixes")
+            members = dealt.groupBy("gram").agg(F.count(F.lit(1)).alias("members"))
+            shared = self.scratch.keep(members.filter("members > 1"), "shared")
+            if deal == DEALS:
+                break
+            found = bitmap_of(shared.filter(F.col("members") > CROWD), F.col("gram"))
+            known = np.zeros_like(found.value) if crowded is None else crowded.value
+            if not (found.value & ~known).any():
+                break
+            crowded = self.spark.sparkContext.broadcast(found.value | known)
+            self.scratch.drop("prefixes")
+            self.scratch.drop("shared")
+        return dealt, shared
+
     @staticmethod
     def _by_class(pairs: DataFrame, class_of: DataFrame) -> DataFrame:
         """Distinct pairs of classes, the smaller first."""
