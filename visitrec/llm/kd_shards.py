@@ -68,13 +68,25 @@ def _measured(
             (F.octet_length(data) + 16).cast("long").alias("size"),
             F.crc32(data).alias("text_crc32"),
             *(value.alias(name) for name, value in zip(names, dimensions.values())),
+            F.monotonically_increasing_id().alias("copy"),
         ),
         "measured",
     )
+    # equal rows need a number of their own to be cut apart; there are usually none
+    same = F.xxhash64("doc_id", "text_crc32")
+    repeated = scratch.keep(
+        rows.groupBy(same.alias("same")).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("same"),
+        "repeated",
+    )
+    tie = same
+    if not repeated.isEmpty():
+        marked = rows.withColumn("same", same).join(repeated.withColumn("again", F.lit(True)), "same", "left")
+        rows = scratch.keep(marked.drop("same"), "measured-again")
+        tie = F.when(F.col("again"), F.xxhash64("doc_id", "text_crc32", "copy")).otherwise(same)
     bounds = rows.agg(
         *(F.min(n).alias(f"{n}_low") for n in names), *(F.max(n).alias(f"{n}_high") for n in names)
     ).first()
-    tie = F.shiftrightunsigned(F.xxhash64("doc_id", "text_crc32"), 64 - TIE_BITS)
+    tie = F.shiftrightunsigned(tie, 64 - TIE_BITS)
     places = [
         F.shiftleft(_place(F.col(n), F.lit(bounds[f"{n}_low"]), F.lit(bounds[f"{n}_high"])), TIE_BITS)
         .bitwiseOR(tie)
@@ -180,7 +192,7 @@ def shard_documents(
 
     ``dimensions`` are numeric expressions over the rows; a null counts as the least value. Where many rows
     share a value, a hash of doc_id and text decides between them, so a hot value is cut like any other;
-    rows alike in all of that stay together.
+    rows alike in all of that are told apart by a number.
 
     Returns doc_id, size (bytes of the text plus 16), text_crc32, law, shard, slot (from 0, without gaps) and
     grown_shard (null). A null text has no bytes. Rows that repeat a doc_id are dealt one by one. An empty

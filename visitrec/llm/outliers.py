@@ -62,7 +62,7 @@ def _repeated(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _lines(block: A.Block, words: A.Words, roll: A.Rolling) -> tuple[np.ndarray, np.ndarray]:
+def _lines(block: A.Block, words: A.Words) -> tuple[np.ndarray, np.ndarray]:
     """For each text: lines with a word that equal an earlier line, and lines with a word."""
     breaks = np.flatnonzero(block.data == 10)
     starts = np.union1d(block.starts, breaks + 1)
@@ -70,7 +70,7 @@ def _lines(block: A.Block, words: A.Words, roll: A.Rolling) -> tuple[np.ndarray,
     ends = np.minimum(np.append(starts[1:], len(block.data)) - 1, block.ends[owner])
     full = np.searchsorted(words.starts, ends) > np.searchsorted(words.starts, starts)
     starts, ends, owner = starts[full], ends[full], owner[full]
-    keys = A.mix(roll.of(starts, ends) + owner.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+    keys = A.mix(A.span_hashes(block.data, starts, ends) + owner.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
     order = np.argsort(keys, kind="stable")
     later = order[1:][keys[order][1:] == keys[order][:-1]]
     return np.bincount(owner[later], minlength=len(block)), np.bincount(owner, minlength=len(block))
@@ -94,9 +94,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = batch.drop_columns(["text"])
         for block in A.blocks(batch.column("text")):
             words = A.words_of(block)
-            roll = A.Rolling(block.data, A.BYTE_CODES)
-            hashes = roll.of(words.starts, words.ends)
-            dup_lines, lines = _lines(block, words, roll)
+            hashes = A.span_hashes(block.data, words.starts, words.ends)
+            dup_lines, lines = _lines(block, words)
             counts = (
                 words.counts,
                 _sum_by_text(block, _CHARS),

@@ -10,8 +10,10 @@ one. Nothing else can be part of a span, so every text is searched whole.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import heapq
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -41,6 +43,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NEIGHBOURS = 3
 #: Stretches in the labelled table, at most.
 SAMPLE = 3000
+#: Words of a stretch that training looks at; words that are decoded at once, with what fills up shorter stretches.
+STRETCH_WORDS, CELLS = 64, 1 << 15
 SHAPES = 1 << 12
 
 _MARKED = A.byte_table(b"0123456789@+")
@@ -77,7 +81,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """Start, end and kind (as listed) of what the patterns find, in order."""
     spans = [(s, e, 0) for s, e in _emails(text)]
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        parts = [p.lstrip("0") or "0" for p in m[0].split(".")]
+        if all(len(p) <= 3 and int(p) <= 255 for p in parts):
             spans.append((m.start(), m.end(), 1))
     for m in _CARD.finditer(text):
         digits = _digits(m[0])
@@ -91,7 +96,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _shape(word: str) -> str:
-    return _NUMBER.sub(lambda m: f"0{min(len(m[0]), 20)}", _LETTERS.sub("a", word))[:24]
+    return _NUMBER.sub(lambda m: f"0{min(len(m[0]), 20)}", _LETTERS.sub("a", word))
 
 
 @functools.lru_cache(maxsize=1 << 16)
@@ -99,7 +104,7 @@ def _code(name: str) -> int:
     data = np.frombuffer(name.encode(), np.uint8)
     if not len(data):
         return 0
-    return int(A.Rolling(data, A.BYTE_CODES).of(np.array([0]), np.array([len(data)]))[0]) % SHAPES
+    return int(A.span_hashes(data, np.array([0]), np.array([len(data)]))[0]) % SHAPES
 
 
 _TRIM = "\"'.,;:!?<>[]{}*#&%$|"
@@ -122,7 +127,7 @@ def _features(word: str) -> tuple[int, ...]:
         _code("shape " + _shape(word)),
         _code("core " + _shape(core)),
         _code(f"digits {min(len(digits), 20)} {len(digits) == len(core)}"),
-        _code("signs " + signs[:8]),
+        _code("signs " + signs),
         _code(f"check {len(digits) >= 14 and luhn(digits)} {quad} {core.count('@')} {core[:1] == '+'}"),
     )
 
@@ -155,11 +160,13 @@ def stretches(text: str) -> Iterator[list[tuple[int, int]]]:
 
 
 def _labels_of(words: list[tuple[int, int]], spans: list[tuple[int, int, int]]) -> list[int]:
-    out = [0] * len(words)
+    """For each word the kind, from 1, of the first span over it; words are in order and apart."""
+    out, ends = [0] * len(words), [b for _, b in words]
     for start, end, kind in spans:
-        for i, (a, b) in enumerate(words):
-            if a < end and start < b and not out[i]:
-                out[i] = kind + 1
+        i = bisect.bisect_right(ends, start)
+        while i < len(words) and words[i][0] < end:
+            out[i] = out[i] or kind + 1
+            i += 1
     return out
 
 
@@ -172,12 +179,13 @@ class CrfModel:
     first: np.ndarray
 
 
-def labelled_table(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def labelled_table(documents: DataFrame, sample: int = SAMPLE, stretch_words: int = STRETCH_WORDS) -> DataFrame:
     """Stretches with the labels that the base patterns give: features (5 for each word) and labels.
 
     ``sample`` stretches at most, chosen by a hash of their text; those with a span and those without have a
     half each. Only texts with marked words give any. Each task reads its texts once and passes on its own
-    first stretches of either kind, so what is ordered is bounded by the number of tasks.
+    first stretches of either kind, so what is ordered is bounded by the number of tasks. Of a longer stretch the
+    first ``stretch_words`` words are taken, for training alone.
     """
     half = sample // 2
     scratch = Scratch(documents.sparkSession, "labelled")
@@ -188,7 +196,7 @@ def labelled_table(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
             for _, _, text in _marked_texts(batch):
                 spans = base_spans(text)
                 for words in stretches(text):
-                    words = words[:64]  # of the sample only
+                    words = words[:stretch_words]
                     own = _labels_of(words, spans)
                     heap = first[any(own)]
                     stretch = text[words[0][0] : words[-1][1]]
@@ -303,11 +311,15 @@ def train_crf(rows: list, rounds: int = 120, rate: float = 0.1, decay: float = 1
 
 
 def viterbi(model: CrfModel, rows: list[list]) -> list[np.ndarray]:
-    """The likeliest labels of each stretch; stretches of like length are decoded together."""
+    """The likeliest labels of each stretch; stretches of like length are decoded together, ``CELLS`` words at a time."""
     out: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(rows)
     order = sorted(range(len(rows)), key=lambda i: len(rows[i]))
-    for at in range(0, len(order), 512):
-        chosen = order[at : at + 512]
+    at = 0
+    while at < len(order):
+        last = at + 1
+        while last < len(order) and (last + 1 - at) * len(rows[order[last]]) <= 5 * CELLS:
+            last += 1
+        chosen, at = order[at:last], last
         x, lengths = _padded([rows[i] for i in chosen])
         score = _scores(model, x)
         n, width = x.shape[:2]
@@ -336,8 +348,10 @@ def fit_crf(documents: DataFrame, sample: int = SAMPLE) -> CrfModel:
 def _added(
     text: str, words: list[tuple[int, int]], labels: np.ndarray, base: list[tuple[int, int, int]]
 ) -> list[tuple[int, int, int]]:
-    """Runs of words with one label, without outer marks, that touch no base span."""
+    """Runs of words with one label, without outer marks, that touch no base span (these are in order)."""
     out, i = [], 0
+    starts = [s for s, _, _ in base]
+    reach = list(itertools.accumulate((e for _, e, _ in base), max))
     while i < len(words):
         j = i + 1
         while j < len(words) and labels[j] == labels[i] and words[j][0] - words[j - 1][1] <= 2:
@@ -348,7 +362,8 @@ def _added(
                 start += 1
             while end > start and text[end - 1] in _TRIM:
                 end -= 1
-            if start < end and not any(s < end and start < e for s, e, _ in base):
+            before = bisect.bisect_left(starts, end)
+            if start < end and not (before and reach[before - 1] > start):
                 out.append((start, end, int(labels[i]) - 1))
         i = j
     return out
@@ -441,6 +456,7 @@ def redacted(documents: DataFrame, model: CrfModel) -> DataFrame:
                     parts += [text[done:start], f"<{KINDS[kind]}>"]
                     done = last = end
                 out[row] = "".join([*parts, text[done:]])
+        A.give_back()
         return type(texts)(out)
 
     own = [

@@ -79,7 +79,7 @@ def _segments(length: int, gram: int):
         spot = spots[np.arange(total[-1]) + np.repeat(low - total[:-1], many)]
         own = hashes[spot] == np.repeat(least[at], many)
         occurs = np.diff(np.concatenate([[0], np.cumsum(own)])[total])
-        content = roll.of(at, at + count + length - 1)
+        content = A.span_hashes(block.data, at, at + count + length - 1)
         return long[owner], at - begins[owner], count, least[at], content, occurs
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
