@@ -38,7 +38,7 @@ SLOT_BITS = 18
 #: Least bits of a set's parity map: bit i tells whether an odd number of its n-grams fall on i.
 PARITY_BITS = 256
 #: An n-gram in the prefixes of more sets goes to the end of the order; how often sets are dealt at most.
-CROWD, DEALS = 16, 3
+CROWD, DEALS = 4, 3
 #: A slot's count is reported by a task if it is so many times the task's mean.
 NOTABLE = 4
 
