@@ -17,7 +17,7 @@ def rows(names, values):
 def test_query_against_sql(spark, name):
     result = QUERIES[name](spark, SF)
     connection = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "pages", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     cursor = connection.execute(ORACLE_SQL[name])
     names = [d[0] for d in cursor.description]

@@ -201,9 +201,32 @@ def _repair_steps() -> tuple[str, str, str]:
 
 
 _INSERTED, _EDITED, _ENDED = _repair_steps()
+# The contracts' patterns of words.
+_SPACED = r"[^\x20\x09-\x0D]+"
+_ALPHANUMERIC = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 _NO_WAY = "{'c': CAST(1000000000 AS BIGINT), 'a': '', 'l': ''}"
 
 
+def _words(text: str, pattern: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_UPPER.lower()}'), '{pattern}')"
+
+
+def _windows(length: str) -> str:
+    """SQL for all runs of ``length`` of the list ``words``, each as one text."""
+    starts = f"range(1, len(words) - {length} + 2)"
+    return f"list_transform({starts}, lambda i: array_to_string(words[i:i + {length} - 1], ' '))"
+
+
+def _base32(hexadecimal: str) -> str:
+    """SQL for the base32 form of 40 hexadecimal digits, four letters for five digits."""
+    letters = " || ".join(
+        f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> {shift}) & 31) + 1, 1)" for shift in (15, 10, 5, 0)
+    )
+    parts = f"list_transform(range(8), lambda k: CAST('0x' || substr({hexadecimal}, CAST(5 * k + 1 AS BIGINT), 5) AS INTEGER))"
+    return f"array_to_string(list_transform({parts}, lambda v: {letters}), '')"
+
+
 def _leaf(text: str) -> str:
     values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
     parts = [f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values]
@@ -243,6 +266,76 @@ SELECT conv_id, CAST(count(*) FILTER (WHERE shared) AS INTEGER) AS n_prompt_turn
     coalesce(string_agg((b_end - 1 - length(b)) || ':' || (b_end - 1), ',' ORDER BY turn)
         FILTER (WHERE NOT shared AND role = 'assistant'), '') AS rejected_spans
 FROM placed GROUP BY conv_id
+""",
+    "op3_ngram_jaccard_join": f"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, {_words('text', _SPACED)} AS words FROM documents
+), sets AS (
+    SELECT doc_id, list_sort(list_distinct(CASE WHEN len(words) >= 4 THEN {_windows('4')}
+        WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END)) AS grams
+    FROM split
+), classes AS (
+    SELECT min(doc_id) AS class, grams, len(grams) AS n FROM sets WHERE len(grams) > 0 GROUP BY grams
+), spread AS (
+    SELECT class, n, unnest(grams) AS gram FROM classes
+), ranked AS (
+    SELECT class, n, gram, row_number() OVER (PARTITION BY class ORDER BY held, gram) AS place
+    FROM (SELECT *, count(*) OVER (PARTITION BY gram) AS held FROM spread)
+), prefixes AS (
+    SELECT class, n, gram FROM ranked WHERE place <= n - (85 * n + 99) // 100 + 1
+), candidates AS (
+    SELECT DISTINCT a.class AS a, b.class AS b FROM prefixes a JOIN prefixes b ON a.gram = b.gram
+    WHERE a.class < b.class AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+), links AS (
+    SELECT a, b FROM (
+        SELECT c.a, c.b, x.n + y.n AS total, len(list_intersect(x.grams, y.grams)) AS shared
+        FROM candidates c JOIN classes x ON x.class = c.a JOIN classes y ON y.class = c.b
+    ) WHERE 100 * shared >= 85 * (total - shared)
+), edges AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+    SELECT class AS a, class AS b FROM classes
+    UNION
+    SELECT r.a, e.b FROM reached r JOIN edges e ON e.a = r.b
+), components AS (
+    SELECT a AS class, min(b) AS component_id FROM reached GROUP BY a
+)
+SELECT s.doc_id, CAST(len(s.grams) AS BIGINT) AS n_shingles, coalesce(m.component_id, s.doc_id) AS component_id
+FROM sets s LEFT JOIN classes c ON c.grams = s.grams LEFT JOIN components m ON m.class = c.class
+""",
+    "op4_warc_dictionary": f"""
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS largest
+    FROM pages
+)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, {_base32('sha1(payload)')} AS payload_digest,
+    CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> largest THEN largest END AS refers_to
+FROM payloads
+""",
+    "op10_winnowing": f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row, doc_id, {_words('text', _ALPHANUMERIC)} AS words FROM documents
+), items AS (
+    SELECT item_id, words, least(len(words), 10) AS size
+    FROM (SELECT item_id, {_words('text', _ALPHANUMERIC)} AS words FROM benchmark)
+), windows AS (
+    SELECT DISTINCT item_id, size, unnest({_windows('size')}) AS content FROM items WHERE size > 0
+), spots AS (
+    SELECT row, size, unnest({_windows('size')}) AS content, unnest(range(1, len(words) - size + 2)) AS place
+    FROM texts, (SELECT DISTINCT size FROM windows)
+), hits AS (
+    SELECT s.row, s.place, s.size, w.item_id FROM spots s JOIN windows w ON w.size = s.size AND w.content = s.content
+), covered AS (
+    SELECT row, count(DISTINCT word) AS n_hit
+    FROM (SELECT row, unnest(range(place, place + size)) AS word FROM (SELECT DISTINCT row, place, size FROM hits)) GROUP BY row
+), named AS (
+    SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY row
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN covered USING (row) LEFT JOIN named USING (row)
 """,
     "op11_merkle_butterfly": f"""
 WITH RECURSIVE leaves AS (
