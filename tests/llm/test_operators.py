@@ -1,10 +1,12 @@
 """Each operator against a plain version on small tables, odd rows included."""
 
 import base64
+import datetime as dt
 import hashlib
 import re
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from visitrec.llm import suffix_arrays, unigram
@@ -15,7 +17,7 @@ from visitrec.llm.outliers import quality_rules
 from visitrec.llm.pii import base_spans, find_pii, fit_crf, labelled_table, luhn, redacted
 from visitrec.llm.suffix_dedup import remove_repeats
 from visitrec.llm.toxicity import fit_severity, severity, without_toxic
-from visitrec.llm.warc import compressed, frames, read_archives, write_archives
+from visitrec.llm.warc import compressed, frames, parsed, read_archives, write_archives
 from visitrec.llm.winnow import benchmark_hits, decontaminated
 
 SF = "/root/testdata/sf0.01"
@@ -284,8 +286,34 @@ def test_archives(spark, tmp_path):
             assert got[i].payload in (None, data)
     folder = str(tmp_path / "none")
     assert read_archives(write_archives(pages.limit(0), folder), folder).isEmpty()
-    records = [b"record %d " % i * 50 for i in range(200)]
-    assert list(frames(compressed(records))) == records
+
+
+def test_archive_dictionary():
+    many = [b"record %d " % i * 50 for i in range(200)]
+    long = [bytes(range(256)) * 5000, b"x"]
+    for records in (many, many[:5], many[:1], [b""], [b"", b"a"], [b"same"] * 300, long):
+        archive = compressed(records)
+        assert list(frames(archive)) == records
+        assert int.from_bytes(archive[4:8], "little") > 0 or not any(records)
+    # five records and their dictionary take less than the records alone
+    plain = sum(len(zstandard.ZstdCompressor(level=3).compress(r)) for r in many[:5])
+    assert len(compressed(many[:5])) < plain + sum(map(len, many[:5])) // 2
+
+
+def test_archived_records(spark, tmp_path):
+    rows = [(1, "http://a", "<p>x</p>", "n")] * 3 + [(2, "http://b", "<p>x</p>", "n"), (None, None, None, "n")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, archive string")
+    day = dt.datetime(2024, 3, 2, 1, 2, 3, tzinfo=dt.UTC)
+    names = [r.archive for r in write_archives(pages, str(tmp_path / "own"), date=day).collect()]
+    data = [d for n in names for d in frames((tmp_path / "own" / n).read_bytes())]
+    fields = [parsed(d)[0] for d in data]
+    assert len({f["WARC-Record-ID"] for f in fields}) == len(rows)
+    assert {f["WARC-Date"] for f in fields} == {"2024-03-02T01:02:03Z"}
+    revisits = [f for f in fields if f["WARC-Type"] == "revisit"]
+    assert [(f["X-Page-ID"], f["WARC-Refers-To-Target-URI"]) for f in revisits] == [("1", "http://b")] * 3
+    for d, f in zip(data, fields):
+        block = d.partition(b"\r\n\r\n")[2][:-4]
+        assert len(block) == int(f["Content-Length"]) and block.startswith(b"HTTP/1.1 200 OK\r\n")
 
 
 def test_pieces(spark, odd, empty):

@@ -1,8 +1,10 @@
 """WARC archives, compressed record by record with a dictionary of their own.
 
 Each task writes its rows into archives of bounded size. An archive starts with a skippable Zstandard frame
-that holds a dictionary built from the archive's first records; every record after it is one frame, so any
-record can be read alone. Of records with equal payloads one is a response, the others only refer to it.
+that holds a dictionary built from records all over the archive; every record after it is one frame, so any
+record can be read alone. Of records with equal payloads one is a response, the others only refer to it, by
+its address and date. A response's block is a whole HTTP message. Record ids are made of the archive's place
+and the record's place in it, so no two are equal, also where rows repeat; the page's own id is a field.
 
 Archives go to a folder that all machines share, under names that a repeated task writes anew.
 """
@@ -10,8 +12,10 @@ Archives go to a folder that all machines share, under names that a repeated tas
 from __future__ import annotations
 
 import base64
+import datetime as dt
 import hashlib
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +31,9 @@ from visitrec.storage import Scratch
 #: Fixed value: the magic number of the skippable frame that holds a dictionary.
 DICTIONARY_MAGIC = 0x184D2A5D
 DICTIONARY_BYTES, SAMPLE_BYTES = 64 << 10, 4 << 20
+#: The dictionary is trained on pieces of this size, as long records come in several; fewer than ``TRAINED`` pieces
+#: are the dictionary themselves.
+PIECE_BYTES, TRAINED = 128 << 10, 8
 ARCHIVE_BYTES = 32 << 20
 LEVEL = 3
 ROWS_A_TABLE = 2000
@@ -39,60 +46,81 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _identity(page_id: int | None) -> str:
-    return f"<urn:page:{'' if page_id is None else page_id}>"
+def _number(text: str) -> int | None:
+    return int(text) if text else None
 
 
-def _page(identity: str) -> int | None:
-    number = identity[len("<urn:page:") : -1]
-    return int(number) if number else None
+def record(
+    identity: str,
+    date: str,
+    page_id: int | None,
+    url: str | None,
+    payload: bytes,
+    refers_to: tuple[int | None, str | None] | None = None,
+) -> bytes:
+    """One WARC record. ``refers_to`` is the page id and the address of a revisit's response.
 
-
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
-    """One WARC record. A revisit holds no payload, but its length and digest."""
-    uri = "".join(c for c in url or "" if c.isprintable())
+    The block is an HTTP response; that of a revisit is its head alone, as length and digest tell the payload.
+    """
+    revisit = refers_to is not None
     head = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: {_identity(page_id)}",
-        f"WARC-Target-URI: {uri}",
+        f"WARC-Record-ID: <urn:uuid:{identity}>",
+        f"WARC-Date: {date}",
+        f"WARC-Target-URI: {_uri(url)}",
         f"WARC-Payload-Digest: sha1:{payload_digest(payload)}",
+        f"X-Page-ID: {'' if page_id is None else page_id}",
         f"X-Payload-Length: {len(payload)}",
     ]
     if revisit:
-        head += [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: {_identity(refers_to)}"]
-    body = b"" if revisit else payload
-    head += ["Content-Type: text/html", f"Content-Length: {len(body)}", "", ""]
-    return "\r\n".join(head).encode() + body + b"\r\n\r\n"
+        head += [
+            f"WARC-Profile: {_PROFILE}",
+            f"WARC-Refers-To-Target-URI: {_uri(refers_to[1])}",
+            f"WARC-Refers-To-Date: {date}",
+            f"X-Refers-To-Page-ID: {'' if refers_to[0] is None else refers_to[0]}",
+        ]
+    message = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
+    block = message.encode() + (b"" if revisit else payload)
+    head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}", "", ""]
+    return "\r\n".join(head).encode() + block + b"\r\n\r\n"
+
+
+def _uri(url: str | None) -> str:
+    return "".join(c for c in url or "" if c.isprintable())
 
 
 def parsed(data: bytes) -> tuple[dict[str, str], bytes]:
+    """The fields of a record and the body of its HTTP message."""
     head, _, rest = data.partition(b"\r\n\r\n")
     lines = head.decode().split("\r\n")
     fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines[1:])
-    return fields, rest[: int(fields["Content-Length"])]
+    return fields, rest[: int(fields["Content-Length"])].partition(b"\r\n\r\n")[2]
 
 
-def _dictionary(records: list[bytes]) -> zstandard.ZstdCompressionDict | None:
-    """From the first ``SAMPLE_BYTES`` of records; too few give none."""
-    samples, held = [], 0
-    for r in records:
-        samples.append(r[: 1 << 17])
-        held += len(samples[-1])
-        if held >= SAMPLE_BYTES:
-            break
-    if len(samples) < 8:
-        return None
-    try:
-        return zstandard.train_dictionary(min(DICTIONARY_BYTES, held // 8), samples)
-    except zstandard.ZstdError:  # records too short or too few to train on
-        return None
+def _dictionary(records: list[bytes]) -> zstandard.ZstdCompressionDict:
+    """Trained on every k-th record, k such that these come to ``SAMPLE_BYTES`` or little more.
+
+    Where there is too little to train on, the beginnings of the records serve as they are.
+    """
+    every = max(1, sum(map(len, records)) // SAMPLE_BYTES)
+    chosen = records[::every]
+    pieces = [r[at : at + PIECE_BYTES] for r in chosen for at in range(0, min(len(r), SAMPLE_BYTES), PIECE_BYTES)]
+    held = sum(map(len, pieces))
+    if len(pieces) >= TRAINED:
+        try:
+            return zstandard.train_dictionary(min(DICTIONARY_BYTES, held // 8), pieces)
+        except zstandard.ZstdError:  # the records are too short, or too much alike
+            pass
+    size = min(DICTIONARY_BYTES, -(-held // 8))
+    raw = b"".join(r[: -(-size // len(chosen))] for r in chosen)[:size]
+    return zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
 def compressed(records: list[bytes]) -> bytes:
-    """An archive: the dictionary in a skippable frame, then each record as a frame."""
+    """An archive of one record or more: the dictionary in a skippable frame, then each record as a frame."""
     dictionary = _dictionary(records)
-    raw = dictionary.as_bytes() if dictionary else b""
+    raw = dictionary.as_bytes()
     writer = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary, write_checksum=True)
     return b"".join(
         [struct.pack("<II", DICTIONARY_MAGIC, len(raw)), raw, *(writer.compress(r) for r in records)]
@@ -105,7 +133,7 @@ def frames(archive: bytes) -> Iterator[bytes]:
     if magic != DICTIONARY_MAGIC:
         raise ValueError("the archive doesn't start with a dictionary frame")
     raw = archive[8 : 8 + size]
-    reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw) if raw else None)
+    reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw))
     rest = memoryview(archive)[8 + size :]
     while len(rest):
         one = reader.decompressobj()
@@ -123,7 +151,7 @@ def _open(folder: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
-def _writer(folder: str, archive_bytes: int):
+def _writer(folder: str, archive_bytes: int, date: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -133,19 +161,23 @@ def _writer(folder: str, archive_bytes: int):
         held: list[bytes] = []
         size = number = 0
 
+        def name() -> str:
+            return f"part-{task.partitionId():05d}-{number:05d}.warc.zst"
+
         def flush() -> pa.RecordBatch:
-            name = f"part-{task.partitionId():05d}-{number:05d}.warc.zst"
-            draft = f"{root}/_{name}.{task.taskAttemptId()}"
+            draft = f"{root}/_{name()}.{task.taskAttemptId()}"
             with system.open_output_stream(draft, compression=None) as out:
                 out.write(compressed(held))
-            system.move(draft, f"{root}/{name}")  # a repeated task replaces what the first one wrote
-            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(held)], pa.int64())], names=["archive", "records"])
+            system.move(draft, f"{root}/{name()}")  # a repeated task replaces what the first one wrote
+            return pa.RecordBatch.from_arrays([pa.array([name()]), pa.array([len(held)], pa.int64())], names=["archive", "records"])
 
         for batch in batches:
-            columns = [batch.column(c) for c in ("page_id", "url", "html", "response_id", "revisit")]
+            columns = [batch.column(c) for c in ("page_id", "url", "html", "response_id", "response_url", "revisit")]
             for i in range(len(batch)):
-                page_id, url, html, response, revisit = (c[i].as_py() for c in columns)
-                held.append(record(page_id, url, (html or "").encode(), response, revisit))
+                page_id, url, html, response_id, response_url, revisit = (c[i].as_py() for c in columns)
+                identity = str(uuid.uuid5(uuid.NAMESPACE_URL, f"{root}/{name()}#{len(held)}"))
+                refers_to = (response_id, response_url) if revisit else None
+                held.append(record(identity, date, page_id, url, (html or "").encode(), refers_to))
                 size += len(held[-1])
                 if size >= archive_bytes:
                     yield flush()
@@ -157,10 +189,16 @@ def _writer(folder: str, archive_bytes: int):
 
 
 def write_archives(
-    pages: DataFrame, folder: str, least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES
+    pages: DataFrame,
+    folder: str,
+    least_bytes: int = 0,
+    archive_bytes: int = ARCHIVE_BYTES,
+    date: dt.datetime | None = None,
 ) -> DataFrame:
     """Write ``pages`` (page_id, url, html) into archives in ``folder``; returns archive and records.
 
+    ``date``, in UTC, is the capture date of all records; by default it is the time of the call.
+
     Of pages with equal payloads of at least ``least_bytes`` bytes, that with the largest page_id is the
     response and the others revisit it; smaller payloads are all responses. A null html is an empty payload.
     Rows that repeat the largest page_id are responses all; a row without an id revisits if the payload has a
@@ -169,20 +207,25 @@ def write_archives(
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     spark = pages.sparkSession
     scratch = Scratch(spark, "warc")
-    digests = pages.select("page_id", F.sha1(payload).alias("digest"), F.octet_length(payload).alias("size"))
+    digests = pages.select("page_id", "url", F.sha1(payload).alias("digest"), F.octet_length(payload).alias("size"))
     responses = scratch.keep(
         digests.filter(F.col("size") >= least_bytes)
         .groupBy("digest")
-        .agg(F.max("page_id").alias("response_id"), F.count(F.lit(1)).alias("copies"))
+        .agg(
+            F.max("page_id").alias("response_id"),
+            F.max_by("url", F.struct("page_id", "url")).alias("response_url"),
+            F.count(F.lit(1)).alias("copies"),
+        )
         .filter("copies > 1")
-        .select("digest", "response_id"),
+        .select("digest", "response_id", "response_url"),
         "responses",
     )
     rows = pages.select("page_id", "url", "html", F.sha1(payload).alias("digest")).join(responses, "digest", "left")
     revisit = F.col("response_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response_id"))
-    rows = rows.select("page_id", "url", "html", "response_id", revisit.alias("revisit"))
+    rows = rows.select("page_id", "url", "html", "response_id", "response_url", revisit.alias("revisit"))
+    day = (date or dt.datetime.now(dt.UTC)).strftime("%Y-%m-%dT%H:%M:%SZ")
     return scratch.keep(
-        rows.mapInArrow(_writer(folder, archive_bytes), "archive string, records long"), "archives"
+        rows.mapInArrow(_writer(folder, archive_bytes, day), "archive string, records long"), "archives"
     )
 
 
@@ -231,9 +274,9 @@ def _row(fields: dict[str, str], body: bytes) -> tuple:
     digest, size = fields["WARC-Payload-Digest"].removeprefix("sha1:"), int(fields["X-Payload-Length"])
     if not revisit and (len(body) != size or payload_digest(body) != digest):
         raise ValueError(f"record {fields['WARC-Record-ID']} doesn't hold the payload that it states")
-    refers_to = _page(fields["WARC-Refers-To"]) if revisit else None
+    refers_to = _number(fields["X-Refers-To-Page-ID"]) if revisit else None
     return (
-        _page(fields["WARC-Record-ID"]),
+        _number(fields["X-Page-ID"]),
         size,
         digest,
         fields["WARC-Type"],
