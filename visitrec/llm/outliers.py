@@ -1,18 +1,21 @@
 """Quality rules: plain limits on each text, then robust multivariate outliers.
 
 Every text becomes a vector of transformed statistics. For each language and source the minimum-covariance-
-determinant estimate is found over all its texts: centre and covariance of those ``core`` of the vectors
-that lie closest, sought by concentration steps from the coordinate-wise median. A text farther from its
-group's centre than the cutoff, by Mahalanobis distance, is rejected.
+determinant estimate is sought over all its texts: centre and covariance of those ``core`` of the vectors
+that lie closest. Concentration steps go from three starts: medians with quartile ranges, medians with the
+floors, and plain moments. After two steps the start with the least determinant goes on alone, until its
+determinant falls no more. A text farther from its group's centre than the cutoff, by Mahalanobis distance,
+is rejected.
 
 A concentration step is two aggregations by group with partial sums, so a group's rows never meet in one
-task. The table of estimates has one row for each group and is joined by Spark's own choice.
+task. The table of estimates has one row for each group and start and is joined by Spark's own choice.
+Quantiles are off by at most one rank in ``ACCURACY`` of a group's rows, so they are exact up to that many.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from operator import add
 
@@ -37,7 +40,10 @@ FLOORS = {
     "upper": 0.08,
 }
 STATISTICS = tuple(FLOORS)
-CORE, STEPS = 0.75, 4
+CORE = 0.75
+#: Concentration steps of every start; of the best one, at most; a logarithm of a determinant that falls by less is at rest.
+FIRST_STEPS, STEPS, REST = 2, 30, 1e-3
+ACCURACY = 10_000
 #: With 6 statistics, the chance of a normal vector beyond it is 5e-8; texts are not quite normal.
 CUTOFF = 45.0
 
@@ -137,7 +143,7 @@ def _moments() -> list[Column]:
 
 
 def _estimates(groups: DataFrame, keys: list[str]) -> DataFrame:
-    """Centre and inverse covariance of each group, from its moments."""
+    """Centre, inverse covariance and logarithm of its determinant for each group, from its moments."""
 
     def invert(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         p = len(STATISTICS)
@@ -151,11 +157,85 @@ def _estimates(groups: DataFrame, keys: list[str]) -> DataFrame:
             cov += lack[:, :, None] * np.eye(p) + 1e-9 * np.eye(p)
             out = frame[[*keys, *(f"m_{a}" for a in STATISTICS)]].copy()
             out["precision"] = list(np.linalg.inv(cov).reshape(len(frame), p * p)) if len(frame) else []
+            out["spread"] = np.linalg.slogdet(cov)[1]
             yield out
 
     fields = [groups.schema[k] for k in [*keys, *(f"m_{a}" for a in STATISTICS)]]
-    schema = T.StructType([*fields, T.StructField("precision", T.ArrayType(T.DoubleType()))])
-    return groups.mapInPandas(invert, schema)
+    added = T.StructType.fromDDL("precision array<double>, spread double").fields
+    return groups.mapInPandas(invert, T.StructType([*fields, *added]))
+
+
+def _starts(passed: DataFrame, keys: list[str]) -> DataFrame:
+    """First centres and covariances of each group, one row for each start."""
+    pairs = [(a, b) for i, a in enumerate(STATISTICS) for b in STATISTICS[i:]]
+    whole = passed.groupBy(*keys).agg(
+        *(F.percentile_approx(a, [0.25, 0.5, 0.75], ACCURACY).alias(f"q_{a}") for a in STATISTICS),
+        *_moments(),
+    )
+
+    def start(name: str, centre: Callable[[str], Column], covariance: Callable[[str, str], Column]) -> Column:
+        return F.struct(
+            F.lit(name).alias("start"),
+            *(centre(a).alias(f"m_{a}") for a in STATISTICS),
+            *(covariance(a, b).cast("double").alias(f"c_{a}_{b}") for a, b in pairs),
+        )
+
+    def middle(a: str) -> Column:
+        return F.col(f"q_{a}")[1]
+
+    def quartiles(a: str, b: str) -> Column:
+        reach = F.col(f"q_{a}")[2] - F.col(f"q_{a}")[0]
+        return F.pow(reach / 1.349, 2) if a == b else F.lit(0.0)
+
+    starts = F.array(
+        start("quartiles", middle, quartiles),
+        start("floors", middle, lambda a, b: F.lit(FLOORS[a] ** 2 if a == b else 0.0)),
+        start("moments", lambda a: F.col(f"m_{a}"), lambda a, b: F.col(f"c_{a}_{b}")),
+    )
+    return whole.select(*keys, F.explode(starts).alias("one")).select(*keys, "one.*")
+
+
+def _step(scratch: Scratch, passed: DataFrame, estimates: DataFrame, keys: list[str], core: float, name: str) -> DataFrame:
+    """A concentration step: the estimates of the nearest ``core`` of each group's vectors."""
+    group = [*keys, "start"]
+    reach = (
+        _measured(passed, estimates, keys, "inner")
+        .groupBy(*group)
+        .agg(F.percentile_approx("distance", core, ACCURACY).alias("reach"))
+    )
+    reach = scratch.keep(estimates.join(reach, group), f"reach-{name}")
+    near = _measured(passed, reach, keys, "inner").filter(F.col("distance") <= F.col("reach"))
+    return scratch.keep(_estimates(near.groupBy(*group).agg(*_moments()), group), f"estimates-{name}")
+
+
+def minimum_determinant(
+    scratch: Scratch, passed: DataFrame, keys: list[str], core: float = CORE, steps: int = STEPS
+) -> DataFrame:
+    """For each group of ``passed`` (keys and statistics): centre, precision and spread of least determinant found.
+
+    The first steps take all starts, the later ones each group's best start, as long as its determinant falls.
+    """
+    estimates = _estimates(_starts(passed, keys), [*keys, "start"])
+    estimates = scratch.keep(estimates, "estimates-start")
+    for step in range(FIRST_STEPS):
+        estimates = _step(scratch, passed, estimates, keys, core, f"first{step}")
+    columns = [c for c in estimates.columns if c not in keys]
+    best = F.min_by(F.struct(*columns), F.struct("spread", "start")).alias("one")
+    estimates = scratch.keep(estimates.groupBy(*keys).agg(best).select(*keys, "one.*"), "best")
+    done, live = [], estimates
+    for step in range(steps):
+        after = _step(scratch, passed, live, keys, core, f"step{step}")
+        before = live.select(*keys, F.col("spread").alias("_before"))
+        judged = scratch.keep(
+            after.join(before, keys).withColumn("_falls", F.col("spread") < F.col("_before") - REST), f"judged{step}"
+        )
+        live = judged.filter("_falls").drop("_before", "_falls")
+        # where it fell no more, what it rested at
+        done.append(estimates.join(judged.filter("NOT _falls"), keys, "left_semi"))
+        estimates = live
+        if live.isEmpty():
+            return reduce(DataFrame.union, done).drop("start")
+    return reduce(DataFrame.union, [*done, live]).drop("start")
 
 
 def _distance() -> Column:
@@ -167,8 +247,8 @@ def _distance() -> Column:
     )
 
 
-def _measured(rows: DataFrame, estimates: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.join(estimates, keys, "left").withColumn("distance", _distance())
+def _measured(rows: DataFrame, estimates: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    return rows.join(estimates, keys, how).withColumn("distance", _distance())
 
 
 def quality_rules(
@@ -202,33 +282,7 @@ def quality_rules(
     )
     passed = counted.filter(~F.col("base_failed")).select(*keys, *STATISTICS)
 
-    middle = passed.groupBy(*keys).agg(
-        *(F.percentile_approx(a, 0.5, 1000).alias(f"m_{a}") for a in STATISTICS),
-        *(
-            F.percentile_approx(a, [0.25, 0.75], 1000).alias(f"q_{a}")
-            for a in STATISTICS
-        ),
-    )
-    start = middle.select(
-        *keys,
-        *(f"m_{a}" for a in STATISTICS),
-        *(
-            (F.pow((F.col(f"q_{a}")[1] - F.col(f"q_{a}")[0]) / 1.349, 2) if a == b else F.lit(0.0)).alias(
-                f"c_{a}_{b}"
-            )
-            for i, a in enumerate(STATISTICS)
-            for b in STATISTICS[i:]
-        ),
-    )
-    estimates = scratch.keep(_estimates(start, keys), "estimates0")
-    for step in range(1, steps + 1):
-        measured = _measured(passed, estimates, keys)
-        reach = measured.groupBy(*keys).agg(F.percentile_approx("distance", core, 1000).alias("reach"))
-        reach = scratch.keep(estimates.join(reach, keys), f"reach{step}")
-        near = _measured(passed, reach, keys).filter(F.col("distance") <= F.col("reach"))
-        estimates = scratch.keep(
-            _estimates(near.groupBy(*keys).agg(*_moments()), keys), f"estimates{step}"
-        )
+    estimates = scratch.keep(minimum_determinant(scratch, passed, keys, core, steps), "estimates")
     distance = F.when(~F.col("base_failed"), F.col("distance") / _widening(core, len(STATISTICS)))
     return (
         _measured(counted, estimates, keys)
