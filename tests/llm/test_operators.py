@@ -5,6 +5,7 @@ import datetime as dt
 import hashlib
 import re
 
+import numpy as np
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -171,6 +172,31 @@ def test_repeats(spark, odd, empty, hot, monkeypatch):
     assert remove_repeats(empty).isEmpty()
 
 
+@pytest.mark.parametrize("most,few", [(512, 12), (512, 0), (0, 12)])
+def test_suffix_order(most, few, monkeypatch):
+    monkeypatch.setattr(suffix_arrays, "MOST_SYMBOLS", most)
+    monkeypatch.setattr(suffix_arrays, "FEW", few)
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        symbols = int(rng.integers(2, 7))
+        text = [*rng.integers(1, symbols, rng.integers(0, 80)).tolist(), 0]
+        order = suffix_arrays.suffix_array(np.array(text), symbols)
+        assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+def test_suffix_order_recurses(monkeypatch):
+    """Many different substrings: the string of their names has more symbols than are sorted in bulk."""
+    text = np.append(np.random.default_rng(5).integers(1, 20, 30_000), 0)
+    text[10_000:20_000] = text[:10_000]
+    called = []
+    singly = suffix_arrays._induce_singly
+    monkeypatch.setattr(suffix_arrays, "_induce_singly", lambda *a: called.append(a[3]) or singly(*a))
+    order = suffix_arrays.suffix_array(text, 20)
+    data = text.astype(np.uint8).tobytes()
+    assert called and min(called) > suffix_arrays.MOST_SYMBOLS
+    assert order.tolist() == sorted(range(len(data)), key=lambda i: data[i : i + 12_000])
+
+
 def test_suffix_arrays():
     strings = [b"banana", b"", b"bananas", b"aaaaaaa", b"mississippi"]
     for length in (1, 3, 5):

@@ -6,8 +6,10 @@ import numpy as np
 
 from visitrec.llm import arrays as A
 
-#: A string of names with more symbols than this is sorted by doubling instead of once more by induction.
+#: With more symbols than this, buckets are so small that suffixes are placed one by one.
 MOST_SYMBOLS = 512
+#: So many suffixes or fewer are placed one by one in any bucket.
+FEW = 12
 
 
 def smaller_than_next(text: np.ndarray) -> np.ndarray:
@@ -26,10 +28,12 @@ def _induce(text: np.ndarray, small: np.ndarray, seeds: np.ndarray, symbols: int
     Bucket by bucket: every sorted suffix puts the one that starts a symbol earlier into that one's bucket,
     larger ones from the front in a rising pass, smaller ones from the back in a falling pass.
     """
+    if symbols > MOST_SYMBOLS:
+        return _induce_singly(text, small, seeds, symbols)
     n = len(text)
     counts = np.bincount(text, minlength=symbols)
     heads = np.concatenate([[0], np.cumsum(counts)])
-    order = np.full(n, -1, dtype=np.int64)
+    order, larger = np.full(n, -1, dtype=np.int64), ~small
 
     seed_symbols = text[seeds]
     seed_at = np.searchsorted(seed_symbols, np.arange(symbols + 1))  # seeds come sorted by first symbol
@@ -40,10 +44,10 @@ def _induce(text: np.ndarray, small: np.ndarray, seeds: np.ndarray, symbols: int
             fresh = order[done : front[c]]
             done = front[c]
             if len(fresh):
-                _put(fresh, text, ~small, order, front, symbols, 1)
+                _put(fresh, text, larger, order, front, symbols, 1)
             elif done == front[c]:
                 break
-        _put(seeds[seed_at[c] : seed_at[c + 1]], text, ~small, order, front, symbols, 1)
+        _put(seeds[seed_at[c] : seed_at[c + 1]], text, larger, order, front, symbols, 1)
 
     back = heads[1:].copy()
     for c in range(symbols - 1, -1, -1):
@@ -62,6 +66,13 @@ def _induce(text: np.ndarray, small: np.ndarray, seeds: np.ndarray, symbols: int
 
 def _put(suffixes, text, wanted, order, ends, symbols, way) -> None:
     """Place what starts a symbol before each suffix, in that order, at the open end of its bucket."""
+    if len(suffixes) <= FEW:
+        for s in suffixes.tolist():
+            if s and wanted[s - 1]:
+                c = text[s - 1]
+                order[ends[c] if way > 0 else ends[c] - 1] = s - 1
+                ends[c] += way
+        return
     before = suffixes[suffixes > 0] - 1
     before = before[wanted[before]]
     if not len(before):
@@ -79,20 +90,34 @@ def _put(suffixes, text, wanted, order, ends, symbols, way) -> None:
         ends -= counts
 
 
-def _doubled(names: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a string of names, by sorting pairs of ranks over ever longer stretches."""
-    n, rank, step = len(names), names.astype(np.int64), 1
-    while True:
-        after = np.zeros(n, dtype=np.int64)
-        after[: n - step] = rank[step:] + 1
-        keys = rank * (n + 2) + after
-        order = np.argsort(keys, kind="stable")
-        new = np.concatenate([[0], np.cumsum(keys[order][1:] != keys[order][:-1])])
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = new
-        step *= 2
-        if new[-1] == n - 1 or step >= n:
-            return order
+def _induce_singly(text: np.ndarray, small: np.ndarray, seeds: np.ndarray, symbols: int) -> np.ndarray:
+    """The same order, in time that doesn't depend on the number of symbols: a step for each suffix."""
+    n = len(text)
+    heads = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=symbols))]).astype(np.int64)
+    order = np.full(n, -1, dtype=np.int64)
+    # seeds stand at the back of their buckets until the rising pass has used them
+    seed_symbols = text[seeds]
+    from_back = np.searchsorted(seed_symbols, seed_symbols, side="right") - np.arange(len(seeds))
+    order[heads[1:][seed_symbols] - from_back] = seeds
+    symbol, smaller, place = memoryview(text), memoryview(small.view(np.uint8)), memoryview(order)
+
+    front = memoryview(heads[:-1].copy())
+    for i in range(n):
+        s = place[i] - 1
+        if s >= 0 and not smaller[s]:
+            c = symbol[s]
+            place[front[c]] = s
+            front[c] += 1
+    # the falling pass writes all smaller suffixes anew, from the back, seeds among them
+    back = memoryview(heads[1:].copy())
+    for i in range(n - 1, -1, -1):
+        s = place[i] - 1
+        if s >= 0 and smaller[s]:
+            c = symbol[s]
+            back[c] -= 1
+            place[back[c]] = s
+    order[0] = n - 1
+    return order
 
 
 def suffix_array(text: np.ndarray, symbols: int) -> np.ndarray:
@@ -118,10 +143,8 @@ def suffix_array(text: np.ndarray, symbols: int) -> np.ndarray:
     names[place[order]] = ranks
     if ranks[-1] == len(left) - 1:
         sorted_left = order
-    elif ranks[-1] + 1 <= MOST_SYMBOLS:
-        sorted_left = left[suffix_array(names, int(ranks[-1]) + 1)]
     else:
-        sorted_left = left[_doubled(names)]
+        sorted_left = left[suffix_array(names, int(ranks[-1]) + 1)]
     return _induce(text, small, sorted_left, symbols)
 
 
