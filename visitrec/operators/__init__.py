@@ -23,6 +23,7 @@ from visitrec.operators.membership import (
     status_counts,
 )
 from visitrec.operators.ranking import id_list, in_order, key_batches, newest
+from visitrec.operators.sieve import sieve, sieve_blocks
 
 __all__ = [
     "all_of",
@@ -48,5 +49,7 @@ __all__ = [
     "rename_headers",
     "requested_only",
     "require_columns",
+    "sieve",
+    "sieve_blocks",
     "status_counts",
 ]

@@ -20,6 +20,7 @@ from visitrec.operators import (
     keys_first,
     only_in,
     rename_headers,
+    sieve,
 )
 from visitrec.plans.clean import clean_local, clean_registry
 from visitrec.plans.packets import (
@@ -178,7 +179,8 @@ def run_day(
 ) -> tuple[ReconcileOutput, dict[str, PacketOutput]]:
     """Reconcile, then all packets from the push list; packets named in ``exports`` are exported too.
 
-    The wide records are read once. In that pass they meet the routed participants, all gates of all packets are
+    The wide records are read once. In that pass a Bloom filter of the routed participants keeps most others from
+    moving, the rest meets these participants, all gates of all packets are
     decided as one bit mask, and what has a verdict is stored, without identifiers, in a folder for each packet
     and verdict; a packet's output reads its own folder alone. All outputs of the date are published together.
     """
@@ -203,6 +205,9 @@ def run_day(
                 .groupBy(F.col("ptid").alias("_routed_ptid"))
                 .agg(*[F.bool_or(F.col("packet") == name).alias(mark) for name, mark in marks.items()])
             )
+            routed = scratch.keep(routed, "routed")
+            ids = routed.select(F.col("_routed_ptid").alias("ptid"))
+            needed = sieve(needed, ids, "ptid", ids.count())
             # null-safe for the shuffle's sake: see operators.membership
             met = needed.join(routed, F.col("ptid").eqNullSafe(F.col("_routed_ptid"))).drop("_routed_ptid")
             judged = verdicts(met, rules, {name: F.col(mark) for name, mark in marks.items()})

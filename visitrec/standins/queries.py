@@ -27,6 +27,7 @@ from visitrec.operators import (
     reconcile,
     rename_headers,
     requested_only,
+    sieve,
     status_counts,
 )
 from visitrec.plans import (
@@ -148,6 +149,13 @@ def _requested_orders(spark: SparkSession, sf: str) -> DataFrame:
     return requested_only(orders, customers.withColumnRenamed("c_custkey", "custkey"), "custkey")
 
 
+def _sieved_orders(spark: SparkSession, sf: str) -> DataFrame:
+    orders = t.load(spark, sf, "orders").withColumnRenamed("o_custkey", "custkey")
+    listed = t.load(spark, sf, "customer").filter(F.col("c_mktsegment") == "HOUSEHOLD")
+    listed = listed.select(F.col("c_custkey").alias("custkey"))
+    return requested_only(sieve(orders, listed, "custkey", listed.count()), listed, "custkey")
+
+
 def _key_batches(spark: SparkSession, sf: str) -> DataFrame:
     owner = F.lpad(F.col("o_custkey").cast("string"), 8, "0")
     orders = t.load(spark, sf, "orders").select(F.concat(F.lit("UM"), owner).alias("ptid"))
@@ -345,6 +353,7 @@ QUERIES: dict[str, Query] = {
     "packet_verdicts": _packet_verdicts,
     "form_projection": _form_projection,
     "requested_orders": _requested_orders,
+    "sieved_orders": _sieved_orders,
     "key_batches": _key_batches,
     "id_list": _id_list,
     "date_from_parts": _date_from_parts,

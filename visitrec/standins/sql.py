@@ -221,6 +221,9 @@ FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderk
     + f"SELECT {', '.join(f'''nullif({c}, '') AS {c}''' for c in _PROJECTED)} FROM wide_raw",
     "requested_orders": """
 SELECT o_custkey AS custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'HOUSEHOLD')""",
+    "sieved_orders": """
+SELECT o_custkey AS custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
 FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'HOUSEHOLD')""",
     "key_batches": """
 WITH ids AS (SELECT DISTINCT 'UM' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS ptid FROM orders),
