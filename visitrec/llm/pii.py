@@ -2,10 +2,12 @@
 
 The patterns give the base spans. The field labels words; it is trained on a small labelled table (some words
 around each base span of a bounded sample of documents, and stretches without any) and finds what the patterns
-miss: the same data in another writing. Words are decoded by Viterbi, all stretches of a block at once.
+miss: the same data in another writing. So the table holds every stretch twice, as it is and rewritten: its
+spans in a writing that no pattern knows (``rewritten``), its other numbers as dates, prices, versions, numbers
+that fail their check and the like (``decoy``). Words are decoded by Viterbi, all stretches of a block at once.
 
-A stretch is a word that holds a digit, ``@`` or ``+`` with its neighbours on both sides; adjoining ones are
-one. Nothing else can be part of a span, so every text is searched whole.
+A stretch is a word that holds a digit, ``@``, ``+`` or a spelled sign (``[at]``, ``(dot)``) with its neighbours
+on both sides; adjoining ones are one. Nothing else can be part of a span, so every text is searched whole.
 """
 
 from __future__ import annotations
@@ -41,13 +43,21 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 #: Words on each side of a marked word.
 NEIGHBOURS = 3
-#: Stretches in the labelled table, at most.
+#: Rows of the labelled table, at most; two for each stretch.
 SAMPLE = 3000
 #: Words of a stretch that training looks at; words that are decoded at once, with what fills up shorter stretches.
 STRETCH_WORDS, CELLS = 64, 1 << 15
 SHAPES = 1 << 12
+#: Score that a feature without any example adds to "none".
+UNSEEN = 2.0
+#: Code points of a span that the field adds, at most (an address has 320 and may be spelled).
+LONGEST = 512
 
 _MARKED = A.byte_table(b"0123456789@+")
+_OPENING = A.byte_table(b"[(")
+_SPELLED_AT = re.compile(r"[\[(]at[\])]", re.I)
+_MARK = re.compile(r"[0-9@+]|[\[(](?:at|dot)[\])]", re.I)
+_SPELLED, _SPELLED_BYTES = (re.compile(p, re.I) for p in (r"[\[(](?:at|dot)[\])]", rb"[\[(](?:at|dot)[\])]"))
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LETTERS, _NUMBER = re.compile(r"[^\W\d_]+"), re.compile(r"[0-9]+")
 
@@ -95,6 +105,93 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
+def _cut(digits: str, sizes: tuple[int, ...], sign: str) -> str:
+    """The digits in groups of these sizes, the last one taking the rest."""
+    ends = list(itertools.accumulate(sizes[:-1]))
+    return sign.join(digits[a:b] for a, b in zip([0, *ends], [*ends, len(digits)]))
+
+
+def rewritten(span: str, kind: int, pick: int) -> str:
+    """The datum in a writing that the base patterns miss; ``pick`` chooses among some of them.
+
+    Every other address loses its digits, as not all have some. No writing leaves a bare number as a word.
+    """
+    digits = _digits(span)
+    if kind == 0:
+        name, host = (_NUMBER.sub("", p).strip("._%+-") or "me" for p in span.split("@")) if pick % 2 else span.split("@")
+        at, dot = (("[at]", "[dot]"), ("(at)", "(dot)"), (" @ ", "."), (" [at] ", " [dot] "), ("(at)", "."))[pick % 5]
+        return name + at + host.replace(".", dot)
+    if kind == 1:
+        return span.replace(".", ("[.]", "(.)", "(dot)", "[dot]")[pick % 4])
+    if kind == 2:
+        return _cut(digits, (4, 4, 4, 4), (".", "/", "_", "--")[pick % 4])
+    own, area = digits[-10:], digits[-10:-7]
+    return (
+        f"({area}) {own[3:6]}-{own[6:]}",
+        _cut(own, (3, 3, 4), "-"),
+        _cut(own, (3, 3, 4), "."),
+        f"00{digits[:-10]}-{_cut(own, (3, 3, 4), '-')}",
+        f"{digits[:-10] or 1}-{_cut(own, (3, 3, 4), '-')}",
+        f"{area}/{own[3:]}",
+    )[pick % 6]
+
+
+def decoy(pick: int) -> str:
+    """A number, handle or the like that is no personal data, though it may look so."""
+    r = pick // 20
+    long = f"{10**15 + r * 7919 % (9 * 10**15):016}"
+    failing = long if not luhn(long) else long[:-1] + str((int(long[-1]) + 1) % 10)
+    year, month, day = 1950 + r % 90, r % 12 + 1, r % 28 + 1
+    return (
+        f"{year}-{month:02}-{day:02}",
+        f"{day:02}.{month:02}.{year}",
+        f"{month}/{day}/{year}",
+        f"{r % 24:02}:{r % 60:02}:{r % 59:02}",
+        f"{r % 900}.{r % 100:02}",
+        f"{r % 99 + 1},{r % 1000:03}.00",
+        f"{r % 9}.{r % 20}.{r % 7}",
+        f"{year}-{year + r % 9}",
+        _cut(failing, (4, 4, 4, 4), ("./_")[r % 3]),
+        _cut(failing, (16,), ""),
+        "[.]".join(str(256 + r % (n + 600)) for n in range(4)),
+        str(r % 10 ** (r % 9 + 1)),
+        f"978-{r % 9}-{r % 100:02}-{r % 10**6:06}-{r % 7}",
+        f"@{'abcdefgh'[: r % 7 + 2]}",
+        f"({year})" if r % 2 else f"({r % 200})",
+        f"AB-{r % 10**4:04}-{r % 1000:03}",
+        f"{'abcdefgh'[: r % 7 + 1]}{r % 10 ** (r % 4 + 1)}",
+        f"{r % 99 + 1}th",
+        f"{r % 10**4}{'abcdefgh'[: r % 7 + 1]}{r % 10**3}",
+        f"{r % 99 + 1}%",
+    )[pick % 20]
+
+
+def _reworked(stretch: str, spans: list[tuple[int, int, int]], pick: int) -> tuple[list[str], list[int]]:
+    """Words and labels of the stretch with its spans rewritten or, without any, its marked words as decoys."""
+    parts, done, at, new = [], 0, 0, []
+    if not spans:
+        marked = (m.span() for m in _WORD.finditer(stretch) if _is_marked(m[0]))
+        spans = [(a, b, -1) for a, b in marked]
+    for number, (a, b, kind) in enumerate(spans):
+        if a < done:
+            continue
+        chosen = pick + 7919 * number
+        put = decoy(chosen) if kind < 0 else rewritten(stretch[a:b], kind, chosen)
+        parts += [stretch[done:a], put]
+        at += a - done
+        if kind >= 0:
+            new.append((at, at + len(put), kind))
+        at += len(put)
+        done = b
+    text = "".join([*parts, stretch[done:]])
+    words = [m.span() for m in _WORD.finditer(text)]
+    return [text[a:b] for a, b in words], _labels_of(words, new)
+
+
+def _is_marked(word: str) -> bool:
+    return _MARK.search(word) is not None
+
+
 def _shape(word: str) -> str:
     return _NUMBER.sub(lambda m: f"0{min(len(m[0]), 20)}", _LETTERS.sub("a", word))
 
@@ -111,27 +208,39 @@ _TRIM = "\"'.,;:!?<>[]{}*#&%$|"
 
 
 def word_features(word: str) -> tuple[int, ...]:
-    """Hashed features of a word: its shape, its shape without outer marks, its digits, its signs, its check."""
+    """Hashed features of a word: its shape, that without outer marks and lengths, its digits, signs, check."""
     return _short_features(word) if len(word) <= 64 else _features(word)
 
 
 def _features(word: str) -> tuple[int, ...]:
-    if not any(c in "@+" or "0" <= c <= "9" for c in word):
-        return (_code("plain"),) * 5
+    if not _is_marked(word):
+        return (_code("plain" if any(c.isalnum() for c in word) else "sign " + word),) * 5
     core = word.strip(_TRIM)
     digits = _digits(core)
     signs = "".join(sorted({c for c in core if not c.isalnum()}))
-    parts = core.split(".")
-    quad = len(parts) == 4 and all(p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts if p.isascii())
+    parts = _NUMBER.findall(core)
+    quad = len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+    spelled = _SPELLED.search(word) is not None
     return (
         _code("shape " + _shape(word)),
-        _code("core " + _shape(core)),
+        _code("core " + _NUMBER.sub("0", _LETTERS.sub("a", core))),
         _code(f"digits {min(len(digits), 20)} {len(digits) == len(core)}"),
         _code("signs " + signs),
-        _code(f"check {len(digits) >= 14 and luhn(digits)} {quad} {core.count('@')} {core[:1] == '+'}"),
+        _code(f"check {14 <= len(digits) <= 19 and luhn(digits)} {quad} {spelled} {core.count('@')} {core[:1] == '+'}"),
     )
 
 
+def stretch_features(words: list[str]) -> list[int]:
+    """The features of all words; a word right beside a spelled sign is known as that too."""
+    signs = [False, *(word == "@" or _SPELLED.fullmatch(word) is not None for word in words), False]
+    out = []
+    for i, word in enumerate(words):
+        own = word_features(word)
+        beside = signs[i] or signs[i + 2]
+        out += (*own[:4], _code(f"beside a sign {signs[i]} {signs[i + 2]}")) if beside else own
+    return out
+
+
 #: Words recur; only short ones are held, so the memory is bounded.
 _short_features = functools.lru_cache(maxsize=1 << 15)(_features)
 
@@ -141,8 +250,7 @@ def stretches(text: str) -> Iterator[list[tuple[int, int]]]:
     words, last, pending = [], -NEIGHBOURS - 1, []
     for i, m in enumerate(_WORD.finditer(text)):
         word = m.span()
-        marked = any(c in "@+" or "0" <= c <= "9" for c in m[0])
-        if marked:
+        if _is_marked(m[0]):
             words += pending[-NEIGHBOURS:]
             pending = []
             words.append(word)
@@ -182,12 +290,13 @@ class CrfModel:
 def labelled_table(documents: DataFrame, sample: int = SAMPLE, stretch_words: int = STRETCH_WORDS) -> DataFrame:
     """Stretches with the labels that the base patterns give: features (5 for each word) and labels.
 
-    ``sample`` stretches at most, chosen by a hash of their text; those with a span and those without have a
-    half each. Only texts with marked words give any. Each task reads its texts once and passes on its own
-    first stretches of either kind, so what is ordered is bounded by the number of tasks. Of a longer stretch the
-    first ``stretch_words`` words are taken, for training alone.
+    ``sample`` rows at most, two for each stretch: as it is and reworked (see the module). Stretches are chosen
+    by a hash of their text; those with a span and those without have a half each. Only texts with marked words
+    give any. Each task reads its texts once and passes on its own first stretches of either kind, so what is
+    ordered is bounded by the number of tasks. Of a longer stretch the first ``stretch_words`` words are taken,
+    for training alone.
     """
-    half = sample // 2
+    half = sample // 4  # stretches of either kind
     scratch = Scratch(documents.sparkSession, "labelled")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,29 +311,48 @@ def labelled_table(documents: DataFrame, sample: int = SAMPLE, stretch_words: in
                     stretch = text[words[0][0] : words[-1][1]]
                     rank = _rank(stretch)
                     if len(heap) < half or heap and -rank > heap[0][0]:
-                        entry = (-rank, stretch, [text[a:b] for a, b in words], own)
+                        begin, end = words[0][0], words[-1][1]
+                        inside = [(a - begin, b - begin, k) for a, b, k in _within(spans, begin, end)]
+                        entry = (-rank, stretch, [text[a:b] for a, b in words], own, inside)
                         (heapq.heappush if len(heap) < half else heapq.heapreplace)(heap, entry)
         rows = [(found, entry) for found, heap in enumerate(first) for entry in heap]
+        other = [_reworked(e[1], e[4], -e[0] // 3) for _, e in rows]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([bool(found) for found, _ in rows], pa.bool_()),
                 pa.array([-e[0] for _, e in rows], pa.int64()),
-                pa.array([[f for w in e[2] for f in word_features(w)] for _, e in rows], pa.list_(pa.int32())),
+                pa.array([stretch_features(e[2]) for _, e in rows], pa.list_(pa.int32())),
                 pa.array([e[3] for _, e in rows], pa.list_(pa.int32())),
+                pa.array([stretch_features(words) for words, _ in other], pa.list_(pa.int32())),
+                pa.array([labels for _, labels in other], pa.list_(pa.int32())),
             ],
-            names=["found", "rank", "features", "labels"],
+            names=["found", "rank", "features", "labels", "new_features", "new_labels"],
         )
 
     rows = scratch.keep(
         documents.select("text").mapInArrow(
-            cut, "found boolean, rank long, features array<int>, labels array<int>"
+            cut,
+            "found boolean, rank long, features array<int>, labels array<int>, "
+            "new_features array<int>, new_labels array<int>",
         ),
         "stretches",
     )
     order = ["rank", "features", "labels"]
     found = rows.filter("found").orderBy(*order).limit(half)
     other = rows.filter("NOT found").orderBy(*order).limit(half)
-    return found.union(other).select("features", "labels")
+    chosen = found.union(other)
+    return chosen.select("features", "labels").union(chosen.select("new_features", "new_labels"))
+
+
+def _within(spans: list[tuple[int, int, int]], begin: int, end: int) -> list[tuple[int, int, int]]:
+    """The spans, which are in order, that lie between two places."""
+    out = []
+    for a, b, kind in spans[bisect.bisect_left(spans, (begin, 0, 0)) :]:
+        if a >= end:
+            break
+        if b <= end:
+            out.append((a, b, kind))
+    return out
 
 
 def _rank(stretch: str) -> int:
@@ -232,12 +360,14 @@ def _rank(stretch: str) -> int:
 
 
 def _marked_texts(batch: pa.RecordBatch) -> Iterator[tuple[A.Block, int, str]]:
-    """Row number and text of the rows that hold a digit, ``@`` or ``+``."""
+    """Row number and text of the rows that hold a digit, ``@``, ``+`` or a spelled sign."""
     for block in A.blocks(batch.column("text")):
         hits = np.add.reduceat(_MARKED[block.data], block.starts, dtype=np.int64)
-        for k in np.flatnonzero(hits).tolist():
-            text = block.data[block.starts[k] : block.ends[k]].tobytes().decode()
-            yield block, block.first + k, text
+        opening = np.add.reduceat(_OPENING[block.data], block.starts, dtype=np.int64)
+        for k in np.flatnonzero(hits + opening).tolist():
+            data = block.data[block.starts[k] : block.ends[k]].tobytes()
+            if hits[k] or _SPELLED_BYTES.search(data):
+                yield block, block.first + k, data.decode()
 
 
 def _padded(rows: list[list]) -> tuple[np.ndarray, np.ndarray]:
@@ -307,6 +437,8 @@ def train_crf(rows: list, rounds: int = 120, rate: float = 0.1, decay: float = 1
             mean += 0.1 * (slope - mean)
             square += 0.001 * (slope * slope - square)
             p -= rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
+    seen = np.bincount(used[live].ravel(), minlength=SHAPES) > 0
+    model.emit[~seen, 0] += UNSEEN
     return model
 
 
@@ -345,10 +477,28 @@ def fit_crf(documents: DataFrame, sample: int = SAMPLE) -> CrfModel:
     return train_crf(labelled_table(documents, sample).collect())
 
 
+def _possible(span: str, kind: int) -> bool:
+    """Whether the span has the signs, numbers or digits that its kind needs, in any writing."""
+    if len(span) > LONGEST:
+        return False
+    if kind == 0:
+        return "@" in span.strip("@") or _SPELLED_AT.search(span) is not None
+    if _LETTERS.search(_SPELLED.sub("", span)):
+        return False
+    if kind == 1:
+        parts = _NUMBER.findall(span)
+        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+    digits = _digits(span)
+    return 14 <= len(digits) <= 19 and luhn(digits) if kind == 2 else 7 <= len(digits) <= 15
+
+
 def _added(
     text: str, words: list[tuple[int, int]], labels: np.ndarray, base: list[tuple[int, int, int]]
 ) -> list[tuple[int, int, int]]:
-    """Runs of words with one label, without outer marks, that touch no base span (these are in order)."""
+    """Runs of words with one label, without outer marks, that touch no base span (these are in order).
+
+    A run must have what its kind consists of (``_possible``).
+    """
     out, i = [], 0
     starts = [s for s, _, _ in base]
     reach = list(itertools.accumulate((e for _, e, _ in base), max))
@@ -363,7 +513,8 @@ def _added(
             while end > start and text[end - 1] in _TRIM:
                 end -= 1
             before = bisect.bisect_left(starts, end)
-            if start < end and not (before and reach[before - 1] > start):
+            apart = not (before and reach[before - 1] > start)
+            if start < end and apart and _possible(text[start:end], int(labels[i]) - 1):
                 out.append((start, end, int(labels[i]) - 1))
         i = j
     return out
@@ -373,7 +524,7 @@ def _block_spans(texts: list[str], model: CrfModel) -> list[tuple[list, list]]:
     """Base spans and all spans of some texts."""
     base = [base_spans(t) for t in texts]
     found = [(k, words) for k, text in enumerate(texts) for words in stretches(text)]
-    rows = [[f for a, b in words for f in word_features(texts[k][a:b])] for k, words in found]
+    rows = [stretch_features([texts[k][a:b] for a, b in words]) for k, words in found]
     spans = [list(b) for b in base]
     for (k, words), labels in zip(found, viterbi(model, rows)):
         if labels.any():
