@@ -153,6 +153,22 @@ def test_a_large_group_of_near_copies(spark):
     assert got == {i: 10 for i in range(11, 410)}
 
 
+def test_two_that_link_among_many_that_do_not(spark):
+    pick, rows = random.Random(8), []
+    for family in range(3):
+        base = [f"f{family}w{i}" for i in range(300)]
+        # six changes leave hardly any similarity of 0.8 to each other, the last two have three
+        for i in range(202):
+            words = list(base)
+            for at in pick.sample(range(5, 295, 6), 6) if i < 200 else range(7 + i % 2 * 80, 55 + i % 2 * 80, 16):
+                words[at] = f"f{family}own{i}x{at}"
+            rows.append((family * 1000 + i, " ".join(words)))
+    expected = components_of(rows)
+    assert [expected.get(i) for i in (201, 1201, 2201)] == [200, 1200, 2200]
+    got = {r.doc_id: r.component_id for r in near_duplicates(frame(spark, rows)).collect()}
+    assert got == expected
+
+
 def test_odd_rows_have_groups(spark):
     got = {r.doc_id: r.component_id for r in near_duplicates(frame(spark, ODD)).collect()}
     assert got == {5: 3}

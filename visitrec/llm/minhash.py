@@ -7,9 +7,11 @@ fingerprints estimates the Jaccard similarity of the shingle sets.
 Near-duplicates: texts with equal sets form a class. Each class is dealt to a bucket for each band of its signature. In
 a bucket one class, the least in a random order, meets all others; where the exact similarity of the sets
 reaches the threshold they are linked, and links make components. Buckets that still hold several components go through
-it again with ``LEADERS`` other classes, until a round finds no link. A pair is only compared if one bit of each
-of its 125 places allows the similarity (five standard deviations). With 25 bands of 5 rows, two texts of similarity 0.8 share
-eight buckets on average and none in one case of 20,000.
+it again with ``LEADERS`` other classes, until a round finds few links. These rounds compare a pair only if one bit of
+each of its 125 places allows the similarity (five standard deviations). What they have left is then compared whole: all
+pairs of a bucket that lie in different components, but for those whose sizes or parity maps prove them too different,
+so no two texts that share a bucket are left out. With 25 bands of 5 rows, two texts of similarity 0.8 share eight
+buckets on average and none in one case of 20,000.
 
 Editions: documents in order of their ids are dealt by ranges of ids, sorted by Spark, and read as a stream in which each
 meets the next one. The first document of a range stands once more at the end of the range before it.
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -37,6 +39,10 @@ SHINGLE, BANDS, ROWS, THRESHOLD = 5, 25, 5, (80, 100)
 PERMUTATIONS = BANDS * ROWS
 #: Classes of a bucket that meet the others, from the second round on.
 LEADERS = 3
+#: A round that finds fewer links than a class in so many has the last one follow it, in which all pairs meet.
+FEW = 100
+#: Least bits of a set's parity map.
+PARITY_BITS = 256
 #: Places in which one bit of two signatures may differ: a tenth of them at the threshold, and five deviations more.
 MOST_BITS = int(PERMUTATIONS * 0.1 + 5 * (PERMUTATIONS * 0.09) ** 0.5)
 #: Documents of a range, and the most ranges there are; the driver holds one id for each.
@@ -142,8 +148,18 @@ def _scan_sets(n: int):
     return scan
 
 
-def _scan_wanted(n: int, wanted):
-    """The sets of documents that may be among the wanted ones."""
+def _parity(grams: np.ndarray) -> np.ndarray:
+    """Bit i tells whether an odd number of the set's hashes fall on it; 1 to 2 bits for each. The halves of a map
+    combined are the map of half as many bits. Two maps differ in no more bits than the sets in shingles."""
+    bits = PARITY_BITS
+    while bits < len(grams):
+        bits *= 2
+    odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _scan_wanted(n: int, wanted, maps: bool = False):
+    """The sets of documents that may be among the wanted ones, or their sizes and parity maps."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,19 +168,35 @@ def _scan_wanted(n: int, wanted):
             for block in A.blocks(batch.column("text")):
                 shingles, bounds = _shingles(block, n)
                 sets = [np.unique(shingles[a:b]) for a, b in zip(bounds, bounds[1:])]
+                ids = batch.column("doc_id").slice(block.first, len(block))
+                if maps:
+                    columns = [ids, pa.array([len(s) for s in sets], pa.int64())]
+                    columns.append(pa.array([_parity(s) for s in sets], pa.list_(pa.int64())))
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "parity"])
+                    continue
                 ends = np.cumsum([0, *map(len, sets)])
                 flat = np.concatenate(sets) if sets else shingles
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(block.first, len(block)),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), A.signed(flat)),
-                    ],
+                    [ids, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), A.signed(flat))],
                     names=["doc_id", "grams"],
                 )
 
     return scan
 
 
+def _differing(one: str, two: str) -> Column:
+    """The bits in which two maps differ, one of them at most twice as long as the other."""
+    size = F.least(F.size(one), F.size(two))
+
+    def folded(name: str) -> Column:
+        halves = F.slice(name, F.lit(1), size), F.slice(name, size + 1, size)
+        both = F.zip_with(*halves, lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(name) == 2 * size, both).otherwise(F.col(name))
+
+    bits = F.zip_with(folded(one), folded(two), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(bits, F.lit(0), lambda total, own: total + own)
+
+
 class _Groups:
     def __init__(self, documents: DataFrame, n: int, threshold: tuple[int, int]) -> None:
         self.rows = documents.select("doc_id", "text").filter("doc_id IS NOT NULL")
@@ -198,20 +230,24 @@ class _Groups:
         labels = keep(
             buckets.select(F.col("class").alias("node"), F.col("class").alias("component")).distinct(), "labels-0"
         )
-        step = 0
+        few = labels.count() // FEW
+        step, last = 0, False
         while True:
-            pairs = keep(self._pairs(buckets, labels, step), f"pairs-{step}")
+            pairs = self._rest(buckets, labels) if last else self._pairs(buckets, labels, step)
+            pairs = keep(pairs, f"pairs-{step}")
             found = self._links(pairs, f"links-{step}")
-            if not found.isEmpty():
+            links = found.count()
+            if links:
                 merged = components(found, self.scratch, f"components-{step}")
                 merged = merged.select(F.col("node").alias("component"), F.col("component").alias("lower"))
                 labels = labels.join(merged, "component", "left").select(
                     "node", F.coalesce("lower", "component").alias("component")
                 )
                 labels = keep(labels, f"labels-{step + 1}")
-            elif step:
-                break
             self.scratch.drop(f"pairs-{step}")
+            if last:
+                break
+            last = step > 0 and links <= few
             step += 1
         named = sets.select("doc_id", "one", "two", "n").join(
             classes.select("one", "two", "n", "class"), ["one", "two", "n"]
@@ -268,6 +304,37 @@ class _Groups:
             )
         )
 
+    def _rest(self, buckets: DataFrame, labels: DataFrame) -> DataFrame:
+        """All pairs of classes that share a bucket, lie in different components and may reach the threshold.
+
+        Sizes and parity maps leave out only pairs that they prove too different.
+        """
+        rows = buckets.select("bucket", "class").join(
+            labels.select(F.col("node").alias("class"), F.col("component").alias("label")), "class"
+        )
+        ends = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        mixed = self.scratch.keep(rows.join(ends.filter("low < high").select("bucket"), "bucket").distinct(), "mixed")
+        wanted = bitmap_of(mixed.select("class").distinct(), F.xxhash64("class"))
+        maps = self.rows.withColumn("key", F.xxhash64("doc_id")).mapInArrow(
+            _scan_wanted(self.n, wanted, maps=True), self._schema("n long, parity array<long>")
+        )
+        maps = self.scratch.keep(maps.withColumnRenamed("doc_id", "class"), "maps")
+        wanted.unpersist()
+        rows = mixed.join(maps, "class")
+        one, two = (
+            rows.select("bucket", *(F.col(c).alias(f"{side}_{c}") for c in ("class", "label", "n", "parity")))
+            for side in "ab"
+        )
+        total = F.col("a_n") + F.col("b_n")
+        sizes = self.den * F.least("a_n", "b_n") >= self.num * F.greatest("a_n", "b_n")
+        close = (self.num + self.den) * (total - _differing("a_parity", "b_parity")) >= 2 * self.num * total
+        return (
+            one.join(two, "bucket")
+            .filter((F.col("a_label") < F.col("b_label")) & sizes & close)
+            .select(F.col("a_class").alias("a"), F.col("b_class").alias("b"), "a_label", "b_label")
+            .distinct()
+        )
+
     def _links(self, pairs: DataFrame, label: str) -> DataFrame:
         """The components (a, b) of pairs whose sets reach the threshold, counted exactly."""
         nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
