@@ -10,7 +10,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from visitrec.sources import read_csv, read_records
-from visitrec.sources.split_text import CSV, JSON, SplitText
+from visitrec.sources.split_text import CSV, JSON, Format, SplitText
 
 FAILS = (PySparkException, Py4JJavaError, ValueError)
 
@@ -116,6 +116,55 @@ def invented_objects(seed, n):
     ]
 
 
+class _Unused:
+    def __getattr__(self, name):
+        raise AssertionError("quotes are looked for one by one")
+
+
+def test_quotes_of_a_chunk_are_found_at_once():
+    """A pattern's step for each quoted stretch, in either case and in three passes, took most of the time."""
+    at_once = Format(JSON.separator, _Unused(), _Unused(), nested=True)
+    objects = invented_objects(3, 50) + [{"k": "\\", "a": '\\"{'}, {"k": "", "a": "{"}]
+    texts = [o | {"k": i} for i, o in enumerate(objects)]
+    text = ",".join(json.dumps(o, ensure_ascii=False) for o in texts).encode()
+    assert at_once.after(text, False) == (False, 0)
+    head, records, tail = at_once.cut(text, (False, 0))
+    assert [json.loads(r) for r in records] == texts and head is None and tail is None
+    for cut in range(0, len(text), 7):
+        inside, depth = JSON.after(text[:cut], False)
+        head, records, tail = JSON.cut(text[:cut], (False, 0))
+        more, others, last = JSON.cut(text[cut:], (inside, depth)) if b"\\" not in text[cut - 1 : cut] else (0, 0, 0)
+        if others != 0:
+            joined = [(tail or b"") + more] if more is not None else []
+            assert [json.loads(r) for r in records + joined + others] == texts and last is None
+
+
+def _by_pattern(text, inside):
+    spans, at = [], 0
+    if inside:
+        match = JSON.quoted_rest.match(text)
+        spans.append(match.span())
+        inside, at = not match[1], match.end()
+    if not inside:
+        for match in JSON.quoted.finditer(text, at):
+            spans.append(match.span())
+            inside = not match[1]
+    return spans, inside
+
+
+@pytest.mark.parametrize("inside", [False, True])
+def test_quotes_are_those_of_the_pattern(inside):
+    pick = random.Random(6)
+    for _ in range(5000):
+        text = "".join(pick.choices('""\\{}x,', k=pick.randrange(14))).encode()
+        spans, ends_inside = JSON.quotes(text, inside)
+        expected, expected_inside = _by_pattern(text, inside)
+        # a backslash at the very end may be in or out of the last stretch
+        if ends_inside and expected_inside and text.endswith(b"\\"):
+            spans[-1, 1], expected[-1] = len(text), (expected[-1][0], len(text))
+        assert (spans.tolist(), ends_inside) == ([list(s) for s in expected], expected_inside), text
+
+
 @pytest.mark.parametrize("indent", [None, 1])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_one_array_makes_many_tasks(spark, tmp_path, small_splits, seed, indent):

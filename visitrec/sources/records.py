@@ -68,15 +68,14 @@ def read_records(
 
 def _require_closed(text: SplitText) -> None:
     """Stop where a file begins as an array and doesn't end as one."""
-    trimmed = F.btrim(F.col("content").cast("string"), F.lit(" \t\r\n"))
     ends = (
-        text.stored.filter("length(content) > 0")
+        text.stored.filter("first IS NOT NULL")
         .groupBy("file")
         .agg(
-            F.min_by(F.left(trimmed, F.lit(1)), F.struct("start", "chunk")).alias("first"),
-            F.max_by(F.right(trimmed, F.lit(1)), F.struct("start", "chunk")).alias("last"),
+            F.min_by("first", F.struct("start", "chunk")).alias("first"),
+            F.max_by("last", F.struct("start", "chunk")).alias("last"),
         )
-        .filter("first = '[' AND last <> ']'")
+        .filter("first = X'5B' AND last <> X'5D'")
     )
     broken = ends.first()
     if broken is not None:

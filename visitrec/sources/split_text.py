@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +42,11 @@ class Format:
 
     def quotes(self, text: bytes, inside: bool) -> tuple[np.ndarray, bool]:
         """Start and end of every quoted stretch, and whether the last one is open at the end."""
+        found = _json_quotes(text, inside) if self.nested else None
+        if found is not None:
+            return found
+        if b'"' not in text:
+            return np.array([[0, len(text)]] * inside, dtype=np.int64).reshape(-1, 2), inside
         spans, at = [], 0
         if inside:
             match = self.quoted_rest.match(text)
@@ -55,7 +61,7 @@ class Format:
     def outside(self, text: bytes, spans: np.ndarray, members: bytes) -> np.ndarray:
         """Where these bytes stand outside quotes."""
         data = np.frombuffer(text, np.uint8)
-        at = np.flatnonzero(np.isin(data, list(members)))
+        at = np.flatnonzero(np.logical_or.reduce([data == member for member in members]))
         if len(spans):
             last = np.searchsorted(spans[:, 0], at, side="right") - 1
             at = at[(last < 0) | (at >= spans[np.maximum(last, 0), 1])]
@@ -73,12 +79,15 @@ class Format:
         levels = self.levels(text, spans)[1] if self.nested else ()
         return ends_inside, int(levels[-1]) if len(levels) else 0
 
-    def cut(self, text: bytes, state: State) -> tuple[bytes | None, list[bytes], bytes | None]:
-        """The end of a record that began before, the records in between, the beginning of one that goes on."""
+    def cut(self, text: bytes, state: State, whole: bool = True) -> tuple[bytes | None, list[bytes], bytes | None]:
+        """The end of a record that began before, the records in between, the beginning of one that goes on.
+
+        Who wants none of those in between passes ``whole=False``.
+        """
         spans, ends_inside = self.quotes(text, state[0])
-        return (self._objects if self.nested else self._rows)(text, spans, state, ends_inside)
+        return (self._objects if self.nested else self._rows)(text, spans, state, ends_inside, whole)
 
-    def _rows(self, text, spans, state, ends_inside):
+    def _rows(self, text, spans, state, ends_inside, whole):
         bounds = self.outside(text, spans, b"\n").tolist()
         edges = [-1, *bounds, len(text)]
         parts = [text[a + 1 : b] for a, b in zip(edges, edges[1:])]
@@ -86,7 +95,7 @@ class Format:
         tail = parts.pop() if ends_inside and parts else None
         return head, [part for part in parts if part.strip()], tail
 
-    def _objects(self, text, spans, state, ends_inside):
+    def _objects(self, text, spans, state, ends_inside, whole):
         at, levels = self.levels(text, spans)
         levels = levels + state[1]
         before = np.concatenate([[state[1]], levels[:-1]]) if len(levels) else levels
@@ -98,6 +107,8 @@ class Format:
         if state[1]:
             first = closes.pop(0) + 1 if closes else len(text)
             head = text[:first]
+        if not whole:
+            return head, [], text[opens[-1] :] if len(opens) > len(closes) else None
         records, gaps = [], []
         for a, b in zip(opens, closes):
             gaps.append(text[first:a])
@@ -109,11 +120,38 @@ class Format:
         else:
             gaps.append(text[first:])
         for gap in gaps:
-            if gap.strip(b" \t\r\n,[]"):
+            if gap != b"," and gap.strip(b" \t\r\n,[]"):
                 raise ValueError(f"malformed JSON: {gap[:40]!r} between records")
         return head, records, tail
 
 
+def _json_quotes(text: bytes, inside: bool) -> tuple[np.ndarray, bool] | None:
+    """What ``Format.quotes`` finds, for a whole chunk at once; None where a quote is escaped outside quotes."""
+    data = np.frombuffer(text, np.uint8)
+    at = np.flatnonzero(data == ord('"'))
+    escaped = at[:0]
+    if len(slashes := np.flatnonzero(data == ord("\\"))):
+        # an odd number of backslashes escapes the quote that follows them
+        last = np.append(slashes[1:] != slashes[:-1] + 1, True)
+        ends = np.flatnonzero(last)
+        counts = np.diff(ends, prepend=-1)
+        after = slashes[ends[counts % 2 == 1]] + 1
+        escaped = np.intersect1d(at, after, assume_unique=True)
+        at = np.setdiff1d(at, escaped, assume_unique=True)
+    if inside:
+        starts, ends = np.append(0, at[1::2]), at[0::2] + 1
+    else:
+        starts, ends = at[0::2], at[1::2] + 1
+    ends_inside = len(starts) > len(ends)
+    if ends_inside:
+        ends = np.append(ends, len(text))
+    if len(escaped):
+        span = np.searchsorted(starts, escaped, side="right") - 1
+        if (span < 0).any() or (escaped >= ends[span]).any():
+            return None
+    return np.stack([starts, ends], axis=1).astype(np.int64), ends_inside
+
+
 #: Cells may be quoted, with doubled quotes inside; a quote elsewhere in a cell is a character like any other.
 CSV = Format(
     "\n",
@@ -131,7 +169,7 @@ JSON = Format(
 
 _BOM = b"\xef\xbb\xbf"
 _CHUNK = (
-    "file string, start long, chunk int, ends boolean, content binary, in_0 boolean, depth_0 int, in_1 boolean,"
+    "file string, start long, chunk int, ends boolean, content binary, first binary, last binary, in_0 boolean, depth_0 int, in_1 boolean,"
     " depth_1 int, after_in_0 boolean, after_depth_0 int, after_in_1 boolean, after_depth_1 int"
 )
 
@@ -143,7 +181,7 @@ def _chunks(form: Format, size: int):
     class Split:
         def __init__(self, file: str, start: int) -> None:
             self.file, self.start, self.number = file, start, 0
-            self.pieces: list[bytes] = []
+            self.pieces: list[bytes] = []  # each of them several, put together
             self.bytes = 0
             self.states: list[State] = [(False, 0), (True, 0)]
 
@@ -159,7 +197,9 @@ def _chunks(form: Format, size: int):
                 if inside not in known:
                     known[inside] = form.after(text, inside)
                 after.append((known[inside][0], depth + known[inside][1]))
-            out = [self.file, self.start, self.number, ends, text, *before[0], *before[1], *after[0], *after[1]]
+            shown = text.strip(b" \t\r\n")
+            edges = [shown[:1], shown[-1:]] if text else [None, None]
+            out = [self.file, self.start, self.number, ends, text, *edges, *before[0], *before[1], *after[0], *after[1]]
             self.states, self.pieces, self.bytes = after, [], 0
             self.number += 1
             return out
@@ -167,16 +207,27 @@ def _chunks(form: Format, size: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = None
         for batch in batches:
-            rows = []
-            for file, start, piece in zip(*(batch.column(c).to_pylist() for c in ("file", "start", "value"))):
+            rows, n = [], batch.num_rows
+            if not n:
+                continue
+            files, starts, values = (batch.column(c) for c in ("file", "start", "value"))
+            moved = pc.or_(*(pc.not_equal(c.slice(1), c.slice(0, n - 1)) for c in (files, starts)))
+            edges = [0, *(np.flatnonzero(moved.to_numpy(zero_copy_only=False)) + 1).tolist(), n]
+            upto = np.concatenate([[0], np.cumsum(pc.binary_length(values).to_numpy() + 1, dtype=np.int64)])
+            for a, b in zip(edges, edges[1:]):
+                file, start = files[a].as_py(), starts[a].as_py()
                 if split is None or (file, start) != (split.file, split.start):
                     if split:
                         rows.append(split.row(True))
                     split = Split(file, start)
-                elif split.bytes >= size:
-                    rows.append(split.row(False))
-                split.pieces.append(piece)
-                split.bytes += len(piece) + 1
+                while a < b:
+                    if split.bytes >= size:
+                        rows.append(split.row(False))
+                    # as many pieces as it takes to reach the size
+                    c = min(b, int(np.searchsorted(upto, upto[a] + size - split.bytes)))
+                    split.pieces.append(_joined(values.slice(a, c - a), separator))
+                    split.bytes += int(upto[c] - upto[a])
+                    a = c
             if rows:
                 yield _batch(rows)
         if split:
@@ -185,6 +236,11 @@ def _chunks(form: Format, size: int):
     return scan
 
 
+def _joined(pieces: pa.Array, separator: bytes) -> bytes:
+    whole = pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces)
+    return pc.binary_join(whole, pa.scalar(separator, pieces.type))[0].as_py()
+
+
 _KINDS = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
 _FIELDS = [part.split() for part in _CHUNK.split(", ")]
 
@@ -212,7 +268,7 @@ class SplitText:
         )
         self.stored = self.scratch.keep(pieces.mapInArrow(_chunks(form, chunk_bytes), _CHUNK), "chunks")
         # a row for each split
-        splits = self.stored.filter("ends").drop("content", "chunk", "ends").collect()
+        splits = self.stored.filter("ends").drop("content", "first", "last", "chunk", "ends").collect()
         states: dict[tuple[str, int], State] = {}
         state: State = (False, 0)
         for row in sorted(splits, key=lambda r: (r["file"], r["start"])):
@@ -264,7 +320,7 @@ class SplitText:
             yield from ([chunk["file"], record] for record in records[int(skipped) :])
 
         def parts(chunk: dict, text: bytes, state: State) -> Iterator[list]:
-            head, _, tail = form.cut(text, state)
+            head, _, tail = form.cut(text, state, whole=False)
             place = [chunk["file"], chunk["start"], chunk["chunk"]]
             if head is not None:
                 yield [*place, False, head]
