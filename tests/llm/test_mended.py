@@ -8,7 +8,7 @@ import pytest
 
 from visitrec.llm import ngram_join
 from visitrec.llm.kd_shards import shard_documents
-from visitrec.llm.ngram_join import near_duplicates
+from visitrec.llm.ngram_join import deduplicated, near_duplicates
 from visitrec.llm.outliers import quality_rules
 from visitrec.llm.pii import CrfModel, _added, _labels_of, base_spans, find_pii, train_crf, viterbi
 from visitrec.llm.suffix_dedup import remove_repeats
@@ -158,3 +158,55 @@ def test_crowded_passages_lose_no_link(spark, monkeypatch, crowd):
     rows += [(len(rows) + i, " ".join(passage)) for i in range(3)]
     got = {r.doc_id: r.component_id for r in near_duplicates(frame(spark, rows)).collect()}
     assert got == components_of(rows)
+
+
+def rows_moved(df, column):
+    """Rows that passed a shuffle with this column, once the frame has been collected."""
+    moved, plans = 0, [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        else:
+            if kind == "ShuffleExchangeExec" and f"{column}#" in plan.output().toString():
+                moved += plan.metrics().apply("shuffleRecordsWritten").value()
+            plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    return moved
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins as they are on large tables."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_texts_that_stay_are_not_shuffled(spark, no_broadcast):
+    pick = random.Random(3)
+    rows = [(i, " ".join(f"w{pick.randrange(10_000)}" for _ in range(30))) for i in range(200)]
+    rows += [(200 + i, rows[i][1]) for i in range(5)]
+    kept = deduplicated(frame(spark, rows))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(200))
+    assert 5 <= rows_moved(kept, "text") <= 20
+
+
+@pytest.mark.parametrize("twice", [False, True])
+def test_full_map_of_ids_changes_no_row(spark, monkeypatch, twice):
+    """One of 64 bits, which holds many ids that are not listed; ids come once or twice, or are null."""
+    monkeypatch.setattr(ngram_join, "LEAST_BITS", 6)
+    monkeypatch.setattr(ngram_join, "MOST_BITS", 6)
+    pick = random.Random(4)
+    texts = [" ".join(f"w{pick.randrange(1000)}" for _ in range(12)) for _ in range(60)]
+    rows = [(i, texts[i % 60 if i % 3 else i % 7]) for i in range(100)] + [(None, texts[0])] * 2
+    rows += rows[10:30] * twice
+    label = components_of([(i, t) for i, t in rows if i is not None])
+    got = [(r.doc_id, r.text) for r in deduplicated(frame(spark, rows)).collect()]
+    stay = {(i, t) for i, t in rows if i is not None and label[i] == i}
+    assert sorted(r for r in got if r[0] is not None) == sorted(stay)
+    assert [r for r in got if r[0] is None] == [(None, texts[0])] * 2

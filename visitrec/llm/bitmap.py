@@ -30,6 +30,16 @@ def bitmap_of(df: DataFrame, hashes: Column, bits: int = BITS) -> Broadcast:
     return df.sparkSession.sparkContext.broadcast(table)
 
 
+def may_be_in(found: Broadcast, hashes: Column) -> Column:
+    """The same test for a column of hashes."""
+
+    @F.pandas_udf("boolean")
+    def test(values):
+        return type(values)(may_hold(found.value, values.to_numpy().view(np.uint64)))
+
+    return test(hashes)
+
+
 def may_hold(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """For unsigned hashes: False only if a hash isn't in the set."""
     bits = int(len(table)).bit_length() - 1 + 6
