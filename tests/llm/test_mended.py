@@ -10,9 +10,11 @@ from visitrec.llm import ngram_join
 from visitrec.llm.kd_shards import shard_documents
 from visitrec.llm.ngram_join import deduplicated, near_duplicates
 from visitrec.llm.outliers import quality_rules
-from visitrec.llm.pii import CrfModel, _added, _labels_of, base_spans, find_pii, train_crf, viterbi
+from visitrec.llm.pii import CrfModel, _added, _labels_of, base_spans, find_pii, redacted, train_crf, viterbi
 from visitrec.llm.suffix_dedup import remove_repeats
+from visitrec.llm.toxicity import OrdinalModel, without_toxic
 from visitrec.llm.unigram import decode, encode
+from visitrec.llm.winnow import decontaminated
 
 from test_operators import SCHEMA, shingles
 
@@ -196,6 +198,28 @@ def test_texts_that_stay_are_not_shuffled(spark, no_broadcast):
     assert 5 <= rows_moved(kept, "text") <= 20
 
 
+def test_texts_without_benchmark_words_are_not_shuffled(spark, no_broadcast):
+    pick = random.Random(5)
+    rows = [(i, " ".join(f"w{pick.randrange(10_000)}" for _ in range(30))) for i in range(200)]
+    items = spark.createDataFrame([(str(i), " ".join(rows[i][1].split()[5:20])) for i in range(5)], "item_id string, text string")
+    kept = decontaminated(frame(spark, rows + [(None, rows[9][1])]), items)
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == list(range(5, 200))
+    assert kept.filter("doc_id IS NULL").count() == 1
+    assert 5 <= rows_moved(kept, "text") <= 20
+
+
+def test_no_text_waits_for_another(spark):
+    """Stages that only look at texts pass on each block of them by itself, so no task holds a whole batch of results."""
+    rows = [(i, f"word {i} " * 2000 if i % 4 else None) for i in range(400)]
+    texts = frame(spark, rows).coalesce(1)
+    model = CrfModel(np.zeros((1 << 12, 5)), np.zeros((5, 5)), np.eye(5)[0])
+    clean = OrdinalModel(np.zeros(0, np.int64), np.zeros(0), np.full(3, 30.0))
+    for kept in (redacted(texts, model), without_toxic(texts, clean)):
+        assert [tuple(r) for r in kept.collect()] == [tuple(r) for r in texts.collect()]
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+
+
 @pytest.mark.parametrize("twice", [False, True])
 def test_full_map_of_ids_changes_no_row(spark, monkeypatch, twice):
     """One of 64 bits, which holds many ids that are not listed; ids come once or twice, or are null."""

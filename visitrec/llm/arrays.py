@@ -149,20 +149,32 @@ def text_bytes(texts: pa.Array) -> tuple[memoryview, np.ndarray]:
     return memoryview(data if data is not None else b""), bounds
 
 
+def _cuts(bounds: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    first, count = 0, len(bounds) - 1
+    while first < count:
+        last = int(np.searchsorted(bounds, bounds[first] + limit, side="right")) - 1
+        last = min(max(last, first + 1), count)
+        yield first, last
+        first = last
+
+
+def parts(batch: pa.RecordBatch, column: str | int = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into rows whose texts have about ``limit`` bytes; nothing is copied."""
+    if len(batch):
+        for first, last in _cuts(text_bytes(batch.column(column))[1], limit):
+            yield batch.slice(first, last - first)
+
+
 def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
     """Cut a column of texts into blocks of about ``limit`` bytes."""
     if not len(texts):
         return
     data, bounds = text_bytes(texts)
-    first = 0
-    while first < len(texts):
-        last = int(np.searchsorted(bounds, bounds[first] + limit, side="right")) - 1
-        last = min(max(last, first + 1), len(texts))
+    for first, last in _cuts(bounds, limit):
         cuts = bounds[first : last + 1].tolist()
         joined = b" ".join([data[a:b] for a, b in zip(cuts, cuts[1:])]) + b" "
         shifted = bounds[first : last + 1] - bounds[first] + np.arange(last - first + 1)
         yield Block(first, last, np.frombuffer(joined, np.uint8), shifted[:-1], shifted[1:] - 1)
-        first = last
 
 
 @dataclass

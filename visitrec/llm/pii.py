@@ -24,10 +24,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitrec.llm import arrays as A
+from visitrec.llm.rows import through_texts
 from visitrec.storage import Scratch
 
 KINDS = ("email", "ip", "card", "phone")
@@ -315,6 +315,7 @@ def labelled_table(documents: DataFrame, sample: int = SAMPLE, stretch_words: in
                         inside = [(a - begin, b - begin, k) for a, b, k in _within(spans, begin, end)]
                         entry = (-rank, stretch, [text[a:b] for a, b in words], own, inside)
                         (heapq.heappush if len(heap) < half else heapq.heapreplace)(heap, entry)
+            A.give_back()
         rows = [(found, entry) for found, heap in enumerate(first) for entry in heap]
         other = [_reworked(e[1], e[4], -e[0] // 3) for _, e in rows]
         yield pa.RecordBatch.from_arrays(
@@ -591,27 +592,26 @@ def redacted(documents: DataFrame, model: CrfModel) -> DataFrame:
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("string")
-    def redact(texts):
-        column = pa.array(texts, pa.string(), from_pandas=True)
-        out = texts.to_numpy(dtype=object, copy=True)
-        batch = pa.RecordBatch.from_arrays([column], names=["text"])
-        for rows in _grouped(_marked_texts(batch)):
-            pairs = _block_spans([text for _, text in rows], shared.value)
-            for (row, text), (_, spans) in zip(rows, pairs):
-                parts, done, last = [], 0, -1
-                for start, end, kind in spans:
-                    if start < last:
-                        done = last = max(last, end)
-                        continue
-                    parts += [text[done:start], f"<{KINDS[kind]}>"]
-                    done = last = end
-                out[row] = "".join([*parts, text[done:]])
-        A.give_back()
-        return type(texts)(out)
-
-    own = [
-        redact(F.col("text")).alias("text") if name == "text" else F.col("`" + name.replace("`", "``") + "`")
-        for name in documents.columns
-    ]
-    return documents.select(*own)
+    def redact(rows: pa.RecordBatch, place: int) -> pa.RecordBatch:
+        texts = pa.RecordBatch.from_arrays([rows.column(place)], names=["text"])
+        out = rows.column(place).to_pylist()
+        for marked in _grouped(_marked_texts(texts)):
+            pairs = _block_spans([text for _, text in marked], shared.value)
+            for (row, text), (_, spans) in zip(marked, pairs):
+                out[row] = _with_kinds(text, spans)
+        columns = rows.columns
+        columns[place] = pa.array(out, rows.schema.field(place).type)
+        return pa.RecordBatch.from_arrays(columns, schema=rows.schema)
+
+    return through_texts(documents, redact)
+
+
+def _with_kinds(text: str, spans: list[tuple[int, int, int]]) -> str:
+    parts, done, last = [], 0, -1
+    for start, end, kind in spans:
+        if start < last:
+            done = last = max(last, end)
+            continue
+        parts += [text[done:start], f"<{KINDS[kind]}>"]
+        done = last = end
+    return "".join([*parts, text[done:]])

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitrec.llm import arrays as A
+from visitrec.llm.rows import through_texts
 
 FEATURE_BITS = 20
 #: Bytes of a word's beginnings that are features of their own.
@@ -242,13 +243,10 @@ def without_toxic(documents: DataFrame, model: OrdinalModel, cut: float = CUT) -
     """The rows whose text is not toxic, with all their columns; no shuffle."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def clean(texts):
-        flags = [
-            shared.value.chances(_scores(block, shared.value)).sum(axis=1) < cut
-            for block in A.blocks(pa.array(texts, pa.string(), from_pandas=True))
+    def clean(rows: pa.RecordBatch, place: int) -> pa.RecordBatch:
+        means = [
+            shared.value.chances(_scores(block, shared.value)).sum(axis=1) for block in A.blocks(rows.column(place))
         ]
-        A.give_back()
-        return type(texts)(np.concatenate(flags) if flags else np.zeros(0, dtype=bool))
+        return rows.filter(pa.array(np.concatenate(means) < cut))
 
-    return documents.filter(clean(F.col("text")))
+    return through_texts(documents, clean)

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from visitrec.llm import arrays as A
-from visitrec.llm.bitmap import bitmap_of, may_hold
+from visitrec.llm.bitmap import bitmap_of, may_be_in, may_hold
 from visitrec.storage import Scratch
 
 SPAN, GRAM = 10, 5
@@ -134,6 +134,7 @@ def _document_windows(span: int, gram: int, short: list[int], marks):
                     ],
                     names=["row", "at", "length", "words", "n_words"],
                 )
+            A.give_back()
 
     return scan
 
@@ -225,7 +226,12 @@ def decontaminated(documents: DataFrame, benchmark: DataFrame, **options) -> Dat
     """The rows of ``documents`` without any stretch of the benchmark, with all their columns.
 
     Rows are matched by doc_id: if one of several rows with an id is hit, all go. Rows without an id stay
-    only if none of them is hit.
+    only if none of them is hit. A map of the ids that are hit, of fixed size, tells which rows the exact join needs;
+    the others stay where they are.
     """
     hits = benchmark_hits(documents, benchmark, **options).filter("contaminated").select("doc_id").distinct()
-    return documents.join(hits, documents["doc_id"].eqNullSafe(hits["doc_id"]), "left_anti")
+    hits = Scratch(documents.sparkSession, "decontaminated").keep(hits, "hits")
+    doubtful = may_be_in(bitmap_of(hits, F.xxhash64("doc_id")), F.xxhash64("doc_id"))
+    few = documents.filter(doubtful)
+    kept = few.join(hits, few["doc_id"].eqNullSafe(hits["doc_id"]), "left_anti")
+    return documents.filter(~doubtful).union(kept)
