@@ -3,13 +3,16 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from visitrec.llm import arrays as A
-from visitrec.llm.minhash import PERMUTATIONS, fingerprint_editions, likeness, near_duplicates
+from visitrec.llm.minhash import HELD_BYTES, PERMUTATIONS, _editions, _fingerprints
+from visitrec.llm.minhash import fingerprint_editions, likeness, near_duplicates
 from visitrec.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -209,3 +212,35 @@ def test_span_hashes_depend_on_the_bytes_alone():
         assert by_bytes.setdefault(data[s:e].tobytes(), h) == h
     assert len(set(by_bytes.values())) == len(by_bytes)
     assert A.span_hashes(data, starts, ends, 1).tolist() != A.span_hashes(data, starts, ends).tolist()
+
+
+def test_ranges_are_dealt_to_as_many_partitions(spark):
+    """Eight partitions, the session's number, would hold 40 ranges each on average."""
+    documents = spark.createDataFrame([(i, f"text {i}") for i in range(1280)], "doc_id long, text string")
+    out = fingerprint_editions(documents, range_rows=4)
+    sizes = out.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert sizes.sum() == 1280 and sizes.max() <= 60
+
+
+def test_editions_hold_a_block_of_a_batch():
+    """The texts of a batch become strings a block at a time."""
+    n, text = 2000, "word " * 2000
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1] * n, pa.int32()), pa.array(range(n)), pa.array([text] * n), pa.nulls(n, pa.int64())],
+        names=["kind", "doc_id", "text", "component"],
+    )
+    tracemalloc.start()
+    rows = next(_editions(5, pa.int64())(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0 < len(rows) < n
+    assert peak < 15 * (1 << 20) + _flush_peak(text)
+
+
+def _flush_peak(text):
+    """What the fingerprints of a block take by themselves."""
+    tracemalloc.start()
+    _fingerprints([text] * (HELD_BYTES // len(text) + 2), 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak

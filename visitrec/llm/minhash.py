@@ -47,6 +47,8 @@ PARITY_BITS = 256
 MOST_BITS = int(PERMUTATIONS * 0.1 + 5 * (PERMUTATIONS * 0.09) ** 0.5)
 #: Documents of a range, and the most ranges there are; the driver holds one id for each.
 RANGE_ROWS, MOST_RANGES = 2000, 1 << 16
+#: Partitions that the ranges are dealt to, at most.
+MOST_PARTITIONS = 1 << 13
 #: Bytes of text that a task fingerprints at once.
 HELD_BYTES = 1 << 20
 
@@ -144,6 +146,7 @@ def _scan_sets(n: int):
                     ],
                     names=["doc_id", "n", "one", "two", "bands", "bits_1", "bits_2"],
                 )
+            A.give_back()
 
     return scan
 
@@ -163,23 +166,25 @@ def _scan_wanted(n: int, wanted, maps: bool = False):
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column("key").to_numpy().view(np.uint64)
-            batch = batch.filter(pa.array(may_hold(wanted.value, keys)))
-            for block in A.blocks(batch.column("text")):
-                shingles, bounds = _shingles(block, n)
-                sets = [np.unique(shingles[a:b]) for a, b in zip(bounds, bounds[1:])]
-                ids = batch.column("doc_id").slice(block.first, len(block))
-                if maps:
-                    columns = [ids, pa.array([len(s) for s in sets], pa.int64())]
-                    columns.append(pa.array([_parity(s) for s in sets], pa.list_(pa.int64())))
-                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "parity"])
-                    continue
-                ends = np.cumsum([0, *map(len, sets)])
-                flat = np.concatenate(sets) if sets else shingles
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), A.signed(flat))],
-                    names=["doc_id", "grams"],
-                )
+            for part in A.parts(batch):
+                keys = part.column("key").to_numpy().view(np.uint64)
+                part = part.filter(pa.array(may_hold(wanted.value, keys)))
+                for block in A.blocks(part.column("text")):
+                    shingles, bounds = _shingles(block, n)
+                    sets = [np.unique(shingles[a:b]) for a, b in zip(bounds, bounds[1:])]
+                    ids = part.column("doc_id").slice(block.first, len(block))
+                    if maps:
+                        columns = [ids, pa.array([len(s) for s in sets], pa.int64())]
+                        columns.append(pa.array([_parity(s) for s in sets], pa.list_(pa.int64())))
+                        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "parity"])
+                        continue
+                    ends = np.cumsum([0, *map(len, sets)])
+                    flat = np.concatenate(sets) if sets else shingles
+                    yield pa.RecordBatch.from_arrays(
+                        [ids, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), A.signed(flat))],
+                        names=["doc_id", "grams"],
+                    )
+            A.give_back()
 
     return scan
 
@@ -405,18 +410,20 @@ def _editions(n: int, id_type: pa.DataType):
         size, label = 0, (None, None)
         names = ("kind", "doc_id", "text", "component")
         for batch in batches:
-            for kind, number, text, component in zip(*(batch.column(c).to_pylist() for c in names)):
-                if kind == _LABEL:
-                    label = (number, component)
-                elif kind == _NEXT_RANGE:
-                    yield flush(held, text)
-                    held, size = [], 0
-                else:
-                    if size >= HELD_BYTES:
+            for part in A.parts(batch):
+                for kind, number, text, component in zip(*(part.column(c).to_pylist() for c in names)):
+                    if kind == _LABEL:
+                        label = (number, component)
+                    elif kind == _NEXT_RANGE:
                         yield flush(held, text)
                         held, size = [], 0
-                    held.append((number, text, label[1] if label[0] == number and number is not None else None))
-                    size += len(text)
+                    else:
+                        if size >= HELD_BYTES:
+                            yield flush(held, text)
+                            held, size = [], 0
+                        held.append((number, text, label[1] if label[0] == number and number is not None else None))
+                        size += len(text)
+            A.give_back()
 
     return scan
 
@@ -504,8 +511,9 @@ def fingerprint_editions(
             T.StructField("component_id", id_field.dataType),
         ]
     )
+    # as many partitions as ranges: what a task sorts and holds does not depend on the shuffle's own number of partitions
     return (
-        parts.repartition("range")
+        parts.repartition(min(ranges, MOST_PARTITIONS), "range")
         .sortWithinPartitions("range", "last", "key", "kind", "text")
         .select("kind", "doc_id", "text", "component")
         .mapInArrow(_editions(shingle, to_arrow_type(id_field.dataType)), schema)
